@@ -158,3 +158,12 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") != "R").alias("is_correct"),
         (F.col("l_linenumber") % 5).alias("level"),
     )
+
+
+def order_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    customers = table(spark, sf_dir, "customer")
+    return Tables(
+        order_log(spark, sf_dir),
+        customers.select(F.col("c_custkey").alias("uuid")),
+        part_content(spark, sf_dir),
+    )

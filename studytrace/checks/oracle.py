@@ -395,6 +395,13 @@ ORACLE = {
     {prior_accuracy("upid", LINE_ORDER)} AS v_upid_acc
     FROM summed r CROSS JOIN ga""",
     "feature_stage": with_(*FEATURES) + "SELECT * FROM features",
+    "feature_stage_in_blocks": with_(
+        "crowded_" + LOG,
+        "log AS (SELECT * REPLACE (CAST(CAST(uuid AS BIGINT) % 3 AS VARCHAR) AS uuid)"
+        " FROM crowded_log)",
+        *FEATURES[1:],
+    )
+    + "SELECT row_id, level4_proficiency, v_uuid_upid_acc, v_upid_acc FROM features",
     "dimension_ordinals": with_(LOG, USERS, CONTENT)
     + """SELECT dimension, id, CAST(dense_rank() OVER (PARTITION BY dimension ORDER BY id)
     - 1 AS INTEGER) AS idx FROM (

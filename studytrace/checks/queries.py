@@ -14,6 +14,7 @@ from studytrace.checks.adapters import (
     event_text_log,
     event_user,
     order_log,
+    order_tables,
     part_content,
 )
 from studytrace.functions.columns import log_order
@@ -50,15 +51,13 @@ from studytrace.operators.selection import head_percent
 from studytrace.operators.validation import prepare_users, validate, with_enum_domains
 from studytrace.plans.features import (
     FeatureStage,
-    by_user,
+    build_features,
     content_dimensions,
-    group_sizes,
-    history_features,
+    feature_stage,
     level4_members,
     with_content_index,
 )
 from studytrace.plans.jobs import (
-    build_features,
     preprocess_summary,
     train_from_feature_store,
     train_on_slice,
@@ -91,7 +90,7 @@ from studytrace.schemas import (
     EXPLORE_COLUMNS,
     SCALAR_FEATURES,
 )
-from studytrace.session import scratch_path
+from studytrace.session import durable, scratch_path
 from studytrace.sources.files import (
     publish,
     read_feature_store,
@@ -214,10 +213,8 @@ def level4_proficiency_in_blocks(spark, sf_dir):
 
 
 def order_history_scale(spark, sf_dir):
-    log = order_log(spark, sf_dir)
-    sizes = group_sizes(log)
-    grouped = with_level4(by_user(log, sizes), part_content(spark, sf_dir))
-    return history_features(grouped, sizes).select(
+    stage = feature_stage(order_tables(spark, sf_dir))
+    return stage.log.select(
         "timestamp_TW",
         "uuid",
         "upid",
@@ -228,6 +225,17 @@ def order_history_scale(spark, sf_dir):
     )
 
 
+def feature_table_in_blocks(spark, sf_dir):
+    """The feature stage with every large user and problem handled in blocks."""
+    tables = event_tables(spark, sf_dir)
+    few_users = tables.log.withColumn("uuid", (F.col("uuid") % 3).cast("string"))
+    crowded = Tables(few_users, tables.user, tables.content)
+    stage = build_features(crowded, strict=False, block_rows=SMALL_BLOCK_ROWS)
+    return stage.log.select(
+        "row_id", "level4_proficiency", "v_uuid_upid_acc", "v_upid_acc"
+    )
+
+
 def feature_table(spark, sf_dir):
     return event_features(spark, sf_dir).log
 
@@ -270,7 +278,8 @@ def sample_prefix(spark, sf_dir):
 def complete_split(spark, sf_dir):
     """Complete feature rows with their split, and the matrix widths."""
     stage = event_features(spark, sf_dir)
-    return split_rows(training_rows(stage, drop_incomplete=True)), stage.dimensions
+    rows = durable(training_rows(stage, drop_incomplete=True))
+    return split_rows(rows), stage.dimensions
 
 
 def minmax_scaled_scalars(spark, sf_dir):
@@ -287,7 +296,7 @@ def minmax_scaled_scalars_train_fit(spark, sf_dir):
 
 def minmax_scaled_concept_entries(spark, sf_dir):
     split, dims = complete_split(spark, sf_dir)
-    bounds = entry_bounds(split, "concept_idx", "concept_level")
+    bounds = entry_bounds(split, {"concept_idx": "concept_level"})
     scaled = scale_entries(split, bounds, "concept_idx", "concept_level", dims.concepts)
     return scaled.select("row_id", "is_train", "concept_idx", "concept_level")
 
@@ -515,6 +524,7 @@ QUERIES = {
     "level4_proficiency_in_blocks": level4_proficiency_in_blocks,
     "order_history_scale": order_history_scale,
     "feature_stage": feature_table,
+    "feature_stage_in_blocks": feature_table_in_blocks,
     "dimension_ordinals": dimension_ordinals,
     "log_positions": log_positions,
     "train_test_split": train_test_rows,

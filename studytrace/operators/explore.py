@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,32 +48,25 @@ def with_category_codes(df: DataFrame, domains: Mapping[str, DataFrame]) -> Data
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of all column pairs, long form, from one pass.
+    """Pearson correlation of all column pairs, long form.
 
     Rows with a null in ``columns`` are left out. Undefined correlations, those
-    of a constant column, are null.
+    of a constant column, are null. The driver holds one columns × columns
+    matrix, never rows.
     """
     numbers = df.select(*[F.col(name).cast("double") for name in columns]).dropna()
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    moments = numbers.agg(
-        *[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs]
-    )
-
-    def correlation(a: str, b: str):
-        joint = f"{a}|{b}" if (a, b) in pairs else f"{b}|{a}"
-        spread = F.sqrt(F.col(f"`{a}|{a}`")) * F.sqrt(F.col(f"`{b}|{b}`"))
-        return F.col(f"`{joint}`") / F.nullif(spread, F.lit(0.0))
-
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="numbers")
+    vectors = assembler.transform(numbers).select("numbers")
+    matrix = Correlation.corr(vectors, "numbers").first()[0].toArray()
+    variances = vectors.select(Summarizer.variance(F.col("numbers"))).first()[0]
     cells = [
-        F.struct(
-            F.lit(a).alias("column_a"),
-            F.lit(b).alias("column_b"),
-            correlation(a, b).alias("correlation"),
-        )
-        for a in columns
-        for b in columns
+        (a, b, float(matrix[i, j]) if variances[i] > 0 and variances[j] > 0 else None)
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
     ]
-    return moments.select(F.inline(F.array(*cells)))
+    return df.sparkSession.createDataFrame(
+        cells, "column_a string, column_b string, correlation double"
+    )
 
 
 def column_profile(df: DataFrame) -> DataFrame:

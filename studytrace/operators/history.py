@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from studytrace.functions.columns import log_order
 from studytrace.operators.ordered import (
     BLOCK_ROWS,
+    MEASURE,
+    LargeGroups,
     any_null,
     previous_value,
     running_totals,
@@ -26,7 +28,8 @@ def prior_accuracy(
     keys: Sequence[str],
     name: str,
     fallback: Column | None = None,
-    block_rows: int | None = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    large: LargeGroups | str | None = MEASURE,
 ) -> DataFrame:
     """Add the share of correct answers among earlier rows of the same keys.
 
@@ -43,6 +46,7 @@ def prior_accuracy(
         log_order(log),
         {"_correct": label.cast("int"), "_attempts": F.lit(1)},
         block_rows=block_rows,
+        large=large,
     )
     share = F.col("_correct") / F.nullif(F.col("_attempts"), F.lit(0))
     known = F.when(label.isNotNull() & ~any_null(keys), share)
@@ -52,17 +56,24 @@ def prior_accuracy(
 
 
 def level4_proficiency(
-    log: DataFrame, name: str = "level4_proficiency", block_rows: int | None = BLOCK_ROWS
+    log: DataFrame,
+    name: str = "level4_proficiency",
+    block_rows: int = BLOCK_ROWS,
+    large_concepts: LargeGroups | str | None = MEASURE,
+    large_level4: LargeGroups | str | None = MEASURE,
 ) -> DataFrame:
     """Add the user's summed latest levels over the concepts of the level4 group.
 
     The sum of latest levels changes, at each row, by the row's level minus the
     previous level of the same user and concept; its running total is the
-    wanted value. A missing level counts as zero.
+    wanted value. A missing level counts as zero. The large groups are those of
+    (uuid, ucid) and of (uuid, level4_id).
     """
     order = log_order(log)
     level = F.coalesce(F.col("level").cast("int"), F.lit(0))
-    stepped = previous_value(log, ["uuid", "ucid"], order, level, "_before", block_rows)
+    stepped = previous_value(
+        log, ["uuid", "ucid"], order, level, "_before", block_rows, large_concepts
+    )
     change = level - F.coalesce(F.col("_before"), F.lit(0))
     return running_totals(
         stepped,
@@ -71,4 +82,5 @@ def level4_proficiency(
         {name: change},
         include_current=True,
         block_rows=block_rows,
+        large=large_level4,
     ).drop("_before")

@@ -5,7 +5,12 @@ while groups are small, and it is the plan used here. A group with more than
 ``block_rows`` rows is instead cut into blocks: contiguous ranges of the total
 order, each small enough for one task. The window then runs inside blocks, and
 what earlier blocks of the group contribute (one row per block) is added on.
-Totals are sums of whole numbers, so both plans give the same values.
+Totals are sums of whole numbers, so both plans give the same values, and which
+groups count as large is a question of speed alone.
+
+``large`` says which groups those are: ``MEASURE`` counts the rows at hand, None
+states that there are none, and a ``LargeGroups`` is the result of an earlier
+count, for instance over the source table before expensive steps.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 
 from studytrace.functions.columns import ascending, order_tuple
 from studytrace.session import durable
@@ -24,7 +30,10 @@ from studytrace.session import durable
 BLOCK_ROWS = 4_000_000
 BROADCAST_ROWS = 500_000
 
+MEASURE = "measure"
+
 _BLOCK = "_block"
+_LARGE = "_large"
 _SPREAD = "_spread"
 
 
@@ -44,14 +53,18 @@ class LargeGroups:
 
 
 def large_groups(
-    df: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    block_rows: int = BLOCK_ROWS,
+    total: int | None = None,
 ) -> LargeGroups | None:
     """Find groups above ``block_rows`` rows, or None when there are none.
 
     At most (row count / block_rows) groups can qualify. Counting combines on
-    the map side, so a hot key costs one partial row per task.
+    the map side, so a hot key costs one partial row per task. ``total`` is the
+    row count where it is known.
     """
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= block_rows:
         return None
     if not keys:
@@ -86,6 +99,12 @@ def _spread_nulls(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.withColumn(_SPREAD, scattered if keys else F.lit(None).cast("bigint"))
 
 
+def _window(partition: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    """Ordered window; partition columns are constant, so they drop out of the order."""
+    inner = [name for name in order if name not in partition]
+    return W.partitionBy(*partition).orderBy(*ascending(inner or order))
+
+
 def _in_windows(df, keys, order, windowed: Callable) -> DataFrame:
     """Apply ``windowed(rows, partition)`` to whole groups."""
     rows = _spread_nulls(df, keys, order)
@@ -111,15 +130,23 @@ def _in_blocks(
     if large.frame is None:
         rest, heavy = None, df
     else:
-        chosen = bounded_broadcast(large.frame, large.groups)
-        rest = df.join(chosen, list(keys), "left_anti")
-        heavy = df.join(chosen, list(keys), "left_semi")
+        # Stored in two partitions, so that neither branch repeats the work
+        # behind df, nor reads the other one's rows.
+        chosen = large.frame.withColumn(_LARGE, F.lit(1))
+        marked = df.join(bounded_broadcast(chosen, large.groups), list(keys), "left")
+        parts = durable(
+            marked.withColumn(_LARGE, F.coalesce(_LARGE, F.lit(0))), _LARGE
+        )
+        rest = parts.filter(F.col(_LARGE) == 0).drop(_LARGE)
+        heavy = parts.filter(F.col(_LARGE) == 1).drop(_LARGE)
 
     blocks = max(2, math.ceil(large.rows / block_rows))
     # The block number depends on sampled range bounds, so it is pinned before
     # two branches of the plan read it.
     pinned = durable(
-        heavy.repartitionByRange(blocks, *ascending([*keys, *order])).withColumn(
+        heavy.repartitionByRange(
+            blocks, *ascending(dict.fromkeys([*keys, *order]))
+        ).withColumn(
             _BLOCK, F.spark_partition_id()
         )
     )
@@ -145,22 +172,19 @@ def running_totals(
     order: Sequence[str],
     totals: Mapping[str, Column],
     include_current: bool = False,
-    block_rows: int | None = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    large: LargeGroups | str | None = MEASURE,
 ) -> DataFrame:
     """Add the sum of each whole-number expression over the earlier rows.
 
     "Earlier" means before the row in ``order`` within its ``keys`` group, plus
     the row itself with ``include_current``. Rows with a null key get null.
-    ``order`` must be total. ``block_rows=None`` states that no group is large.
+    ``order`` must be total.
     """
     end = W.currentRow if include_current else -1
 
     def windowed(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = (
-            W.partitionBy(*partition)
-            .orderBy(*ascending(order))
-            .rowsBetween(W.unboundedPreceding, end)
-        )
+        window = _window(partition, order).rowsBetween(W.unboundedPreceding, end)
         return rows.withColumns(
             {
                 name: F.when(
@@ -170,7 +194,8 @@ def running_totals(
             }
         )
 
-    large = None if block_rows is None else large_groups(df, keys, block_rows)
+    if large == MEASURE:
+        large = large_groups(df, keys, block_rows)
     if large is None:
         return _in_windows(df, keys, order, windowed)
 
@@ -199,24 +224,26 @@ def previous_value(
     order: Sequence[str],
     value: Column,
     name: str,
-    block_rows: int | None = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    large: LargeGroups | str | None = MEASURE,
 ) -> DataFrame:
     """Add ``value`` of the row just before in the ``keys`` group, null if none."""
     first = "_first_of_block"
 
     def windowed(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = W.partitionBy(*partition).orderBy(*ascending(order))
+        window = _window(partition, order)
         return rows.withColumn(
             name, F.when(~any_null(keys), F.lag(value).over(window))
         )
 
     def windowed_in_block(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = W.partitionBy(*partition).orderBy(*ascending(order))
+        window = _window(partition, order)
         return windowed(rows, partition).withColumn(
             first, F.row_number().over(window) == 1
         )
 
-    large = None if block_rows is None else large_groups(df, keys, block_rows)
+    if large == MEASURE:
+        large = large_groups(df, keys, block_rows)
     if large is None:
         return _in_windows(df, keys, order, windowed)
 
@@ -245,10 +272,18 @@ def positions(
 
 
 def ordinals(
-    df: DataFrame, column: str, name: str, block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    column: str,
+    name: str,
+    rows: int | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Distinct non-null values of ``column`` numbered 0, 1, … in ascending order."""
+    """Distinct non-null values of ``column`` numbered 0, 1, … in ascending order.
+
+    ``rows`` is the number of distinct values where the caller knows it.
+    """
     values = df.select(column).dropna().distinct()
-    return positions(values, [column], name, block_rows).withColumn(
-        name, F.col(name).cast("int")
-    )
+    large = MEASURE if rows is None else large_groups(values, [], block_rows, rows)
+    return running_totals(
+        values, [], [column], {name: F.lit(1)}, block_rows=block_rows, large=large
+    ).withColumn(name, F.col(name).cast("int"))

@@ -32,14 +32,17 @@ _HASH = "_split_hash"
 
 
 def nth_row(
-    df: DataFrame, order: Sequence[str], slots: Sequence[Column], n: int
+    df: DataFrame, order: Sequence[str], slots: Sequence[Column], n: int, total: int
 ) -> Row:
     """The ``order`` columns of the n-th row (1-based) of the total order.
 
     ``slots`` run from coarse to fine; none may decrease along the order.
+    ``total`` is the row count of ``df``.
     """
-    rows, wanted = df.select(*order), n
+    rows, wanted, held = df.select(*order), n, total
     for slot in slots:
+        if held <= FINISH_ROWS:
+            break
         counted = rows.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("held"))
         upto = F.sum("held").over(W.orderBy(F.col("slot").asc_nulls_last()))
         hit = (
@@ -48,11 +51,10 @@ def nth_row(
             .orderBy("upto")
             .first()
         )
-        wanted -= hit["upto"] - hit["held"]
+        held = hit["held"]
+        wanted -= hit["upto"] - held
         dtype = counted.schema["slot"].dataType
         rows = rows.filter(slot.eqNullSafe(literal(hit["slot"], dtype)))
-        if hit["held"] <= FINISH_ROWS:
-            break
     return rows.orderBy(*ascending(order)).offset(wanted - 1).limit(1).first()
 
 
@@ -84,9 +86,10 @@ def head_in_order(
     order = list(order or log_order(df))
     if n <= 0:
         return df.limit(0)
-    if n >= df.count():
+    total = df.count()
+    if n >= total:
         return df
-    last = nth_row(df, order, log_slots(df, order), n)
+    last = nth_row(df, order, log_slots(df, order), n, total)
     # The leading column is compared on its own too, so that scans can skip data.
     lead = F.col(order[0])
     chosen = up_to(df, order, last)
@@ -124,11 +127,12 @@ def train_test_split(
     or row order.
     """
     key = list(key or row_key(df))
-    wanted = math.floor(df.count() * fraction)
+    total = df.count()
+    wanted = math.floor(total * fraction)
     if wanted == 0:
         return df.withColumn("is_train", F.lit(False))
     hashed = df.withColumn(_HASH, split_hash(key, seed))
     order = [_HASH, *key]
     prefixes = [F.substring(_HASH, 1, digits) for digits in (4, 8, 12)]
-    last = nth_row(hashed, order, [*prefixes, F.col(_HASH)], wanted)
+    last = nth_row(hashed, order, [*prefixes, F.col(_HASH)], wanted, total)
     return hashed.withColumn("is_train", up_to(hashed, order, last)).drop(_HASH)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studytrace.functions.columns import require_columns
@@ -13,12 +13,16 @@ from studytrace.operators.history import (
     overall_accuracy,
     prior_accuracy,
 )
-from studytrace.operators.joins import require_known
+from studytrace.operators.joins import duplicate_keys, require_known
 from studytrace.operators.ordered import (
     BLOCK_ROWS,
+    BROADCAST_ROWS,
+    LargeGroups,
     bounded_broadcast,
+    large_groups,
     ordinals,
 )
+from studytrace.plans.preprocess import preprocess_log
 from studytrace.plans.tables import Tables
 
 
@@ -43,9 +47,13 @@ def content_dimensions(content: DataFrame) -> Dimensions:
     """Number concepts and level4 groups by ascending id."""
     require_columns(content, ("ucid", "level4_id"), "content")
     members = content.select("ucid", "level4_id")
-    concept = ordinals(members, "ucid", "concept_idx")
-    level4 = ordinals(members, "level4_id", "level4_idx")
-    concepts, groups = concept.count(), level4.count()
+    held, concepts, groups = members.agg(
+        F.count("ucid"), F.countDistinct("ucid"), F.countDistinct("level4_id")
+    ).first()
+    if held > concepts:
+        raise ValueError(f"content holds {held - concepts} duplicate ucid rows")
+    concept = ordinals(members, "ucid", "concept_idx", concepts)
+    level4 = ordinals(members, "level4_id", "level4_idx", groups)
     indexed = members.join(bounded_broadcast(concept, concepts), "ucid").join(
         bounded_broadcast(level4, groups), "level4_id", "left"
     )
@@ -71,66 +79,122 @@ def level4_members(dimensions: Dimensions) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class GroupSizes:
-    """Which key groups of a log are known to fit one task."""
+class LogGroups:
+    """Key groups of a log that exceed one task, per window of the stage."""
 
-    all_fit: bool
-    users_fit: bool
+    users_fit: bool = True
+    problem: LargeGroups | None = None
+    user_problem: LargeGroups | None = None
+    user_concept: LargeGroups | None = None
+    user_level4: LargeGroups | None = None
 
 
-def group_sizes(log: DataFrame, block_rows: int = BLOCK_ROWS) -> GroupSizes:
-    """Measure the log: a small log holds no large group, else users are counted.
+def log_groups(
+    log: DataFrame, dimensions: Dimensions, block_rows: int = BLOCK_ROWS
+) -> LogGroups:
+    """Measure the groups once, on the source log, reading key columns only.
 
-    Rows without a user count as one user here.
+    A small log holds no large group, and without a large user no group below
+    a user is large. Rows without a user count as one user here.
     """
-    if log.count() <= block_rows:
-        return GroupSizes(True, True)
-    per_user = log.groupBy("uuid").agg(F.count(F.lit(1)).alias("held"))
-    return GroupSizes(False, per_user.filter(F.col("held") > block_rows).isEmpty())
+    total = log.count()
+    if total <= block_rows:
+        return LogGroups()
+    problem = large_groups(log, ["upid"], block_rows, total)
+    nameless = log.filter(F.col("uuid").isNull()).count()
+    if large_groups(log, ["uuid"], block_rows, total) is None:
+        return LogGroups(users_fit=nameless <= block_rows, problem=problem)
+    keys = [c for c in ("uuid", "ucid", "upid", "level4_id") if c in log.columns]
+    indexed = with_content_index(log.select(*keys), dimensions)
+    return LogGroups(
+        False,
+        problem,
+        *[
+            large_groups(indexed, ["uuid", below], block_rows, total)
+            for below in ("upid", "ucid", "level4_id")
+        ],
+    )
 
 
-def by_user(log: DataFrame, sizes: GroupSizes) -> DataFrame:
+def by_user(log: DataFrame, groups: LogGroups) -> DataFrame:
     """Cluster the log by user unless a user is too large for one task.
 
     The user join and every per-user window afterwards reuse this one shuffle.
     """
-    return log.repartition("uuid") if sizes.users_fit else log
+    return log.repartition("uuid") if groups.users_fit else log
 
 
 def history_features(
-    log: DataFrame, sizes: GroupSizes, block_rows: int = BLOCK_ROWS
+    log: DataFrame, fallback: Column, groups: LogGroups, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Add level4 proficiency and both running accuracies.
 
     Per-user features come first, since they keep the layout of ``by_user``.
     """
-    fallback = overall_accuracy(log).scalar()
-    per_user = None if sizes.users_fit else block_rows
-    per_problem = None if sizes.all_fit else block_rows
-    rows = level4_proficiency(log, block_rows=per_user)
-    rows = prior_accuracy(rows, ["uuid", "upid"], "v_uuid_upid_acc", fallback, per_user)
-    return prior_accuracy(rows, ["upid"], "v_upid_acc", fallback, per_problem)
+    rows = level4_proficiency(
+        log,
+        block_rows=block_rows,
+        large_concepts=groups.user_concept,
+        large_level4=groups.user_level4,
+    )
+    rows = prior_accuracy(
+        rows,
+        ["uuid", "upid"],
+        "v_uuid_upid_acc",
+        fallback,
+        block_rows,
+        groups.user_problem,
+    )
+    return prior_accuracy(
+        rows, ["upid"], "v_upid_acc", fallback, block_rows, groups.problem
+    )
+
+
+def require_known_keys(tables: Tables) -> None:
+    """Raise ``KeyError`` for concepts or users of the log the dimensions lack."""
+    require_known(tables.log, tables.content, "ucid")
+    require_known(tables.log, tables.user, "uuid")
 
 
 def feature_stage(
-    tables: Tables,
-    strict: bool = True,
-    block_rows: int = BLOCK_ROWS,
-    sizes: GroupSizes | None = None,
+    tables: Tables, strict: bool = True, block_rows: int = BLOCK_ROWS
 ) -> FeatureStage:
-    """Add running accuracies, concept entry and level4 proficiency.
+    """Features of a preprocessed log: accuracies, concept entry, proficiency.
 
     ``strict`` raises ``KeyError`` for users or concepts the dimensions lack.
-    ``sizes`` says that the log was already measured and went through
-    ``by_user`` before preprocessing.
     """
-    log = tables.log
+    if strict:
+        require_known_keys(tables)
     dimensions = content_dimensions(tables.content)
+    groups = log_groups(tables.log, dimensions, block_rows)
+    fallback = overall_accuracy(tables.log).scalar()
+    # A large content table is joined by shuffle, which undoes the clustering.
+    if dimensions.concepts <= BROADCAST_ROWS:
+        rows = with_content_index(by_user(tables.log, groups), dimensions)
+    else:
+        rows = by_user(with_content_index(tables.log, dimensions), groups)
+    return FeatureStage(history_features(rows, fallback, groups, block_rows), dimensions)
+
+
+def build_features(
+    tables: Tables, strict: bool = True, block_rows: int = BLOCK_ROWS
+) -> FeatureStage:
+    """Preprocess raw tables and derive features.
+
+    The same values as ``feature_stage(preprocess(tables))``. Checks, group
+    sizes and overall accuracy are taken from the raw log, before any join, and
+    the log is clustered by user before the user join, which keeps the layout.
+    """
     if strict:
-        require_known(log, tables.content, "ucid")
-        require_known(log, tables.user, "uuid")
-    if sizes is None:
-        sizes = group_sizes(log, block_rows)
-        log = by_user(log, sizes)
-    rows = with_content_index(log, dimensions)
-    return FeatureStage(history_features(rows, sizes, block_rows), dimensions)
+        require_known_keys(tables)
+    dimensions = content_dimensions(tables.content)
+    groups = log_groups(tables.log, dimensions, block_rows)
+    small_content = dimensions.concepts <= BROADCAST_ROWS
+    log = by_user(tables.log, groups) if small_content else tables.log
+    rows = preprocess_log(log, tables.user)
+    # A repeated user id would repeat log rows, and so shift the accuracy.
+    unique = duplicate_keys(tables.user, ["uuid"]).isEmpty()
+    fallback = overall_accuracy(tables.log if unique else rows).scalar()
+    rows = with_content_index(rows, dimensions)
+    rows = rows if small_content else by_user(rows, groups)
+    return FeatureStage(history_features(rows, fallback, groups, block_rows), dimensions)

@@ -88,12 +88,14 @@ def scaled_vectors(
     blocks = [("concept_idx", "concept_level", concepts, CONCEPT_BLOCK)]
     if include_level4:
         blocks.append(("level4_idx", "level4_proficiency", level4_groups, LEVEL4_BLOCK))
+    entries = {index: value for index, value, _, _ in blocks}
+    bounds = durable(entry_bounds(split, entries, fit_on))
+    implicit = implicit_values(bounds)
     for index, value, width, name in blocks:
-        bounds = durable(entry_bounds(split, index, value, fit_on))
-        implicit = implicit_values(bounds, index)
         scaled = scale_entries(scaled, bounds, index, value, width)
-        if implicit:
-            scaled = shifted_block(scaled, index, value, width, name, implicit)
+        shifts = [cell[1:] for cell in implicit if cell[0] == index]
+        if shifts:
+            scaled = shifted_block(scaled, index, value, width, name, shifts)
         else:
             scaled = sparse_block(scaled, index, value, width, name)
     return scaled

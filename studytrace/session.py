@@ -1,4 +1,4 @@
-"""Session-level helpers: local sessions, and durable storage for cut lineage."""
+"""Session-level helpers: local sessions, and shared storage for cut lineage."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("studytrace")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -47,10 +48,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def durable(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Cut the lineage of ``df`` with a table written to the shared folder.
+
+    Later readers scan only the columns they need, row counts come from file
+    footers, and a lost executor costs a re-read, not a recomputation. Readers
+    of one ``partition_by`` value touch only that value's files.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
