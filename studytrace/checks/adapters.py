@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studytrace.plans.tables import Tables
+from studytrace.session import durable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +84,12 @@ def event_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per exercise occurring in the events."""
+    """One row per exercise occurring in the events, stored as a table.
+
+    Content is read many times; the events are scanned for it only once.
+    """
     exercise = F.get_json_object("props", "$.k").cast("int") % 20
-    return (
+    return durable(
         table(spark, sf_dir, "events")
         .select(exercise.alias("n"))
         .distinct()

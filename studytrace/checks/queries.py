@@ -197,11 +197,8 @@ def level4_member_lists(spark, sf_dir):
 
 
 def level4_proficiency_values(spark, sf_dir):
-    tables = preprocessed(spark, sf_dir)
-    indexed = with_content_index(tables.log, content_dimensions(tables.content))
-    return level4_proficiency(indexed).select(
-        "row_id", "level4_idx", "level4_proficiency"
-    )
+    log = event_features(spark, sf_dir).log
+    return log.select("row_id", "level4_idx", "level4_proficiency")
 
 
 def level4_proficiency_in_blocks(spark, sf_dir):
@@ -213,7 +210,7 @@ def level4_proficiency_in_blocks(spark, sf_dir):
 
 
 def order_history_scale(spark, sf_dir):
-    stage = feature_stage(order_tables(spark, sf_dir))
+    stage = feature_stage(order_tables(spark, sf_dir), strict=False)
     return stage.log.select(
         "timestamp_TW",
         "uuid",
@@ -228,7 +225,7 @@ def order_history_scale(spark, sf_dir):
 def feature_table_in_blocks(spark, sf_dir):
     """The feature stage with every large user and problem handled in blocks."""
     tables = event_tables(spark, sf_dir)
-    few_users = tables.log.withColumn("uuid", (F.col("uuid") % 3).cast("string"))
+    few_users = tables.log.withColumn("uuid", (F.col("uuid").cast("bigint") % 3).cast("string"))
     crowded = Tables(few_users, tables.user, tables.content)
     stage = build_features(crowded, strict=False, block_rows=SMALL_BLOCK_ROWS)
     return stage.log.select(

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +36,10 @@ def with_category_codes(df: DataFrame, domains: Mapping[str, DataFrame]) -> Data
     a value foreign to the domain, gives −1.
     """
     for name, table in domains.items():
-        codes = ordinals(table, name, "_code")
+        size = table.agg(F.countDistinct(name)).first()[0]
+        codes = ordinals(table, name, "_code", size)
         df = (
-            df.join(bounded_broadcast(codes, codes.count()), name, "left")
+            df.join(bounded_broadcast(codes, size), name, "left")
             .withColumn(name, F.coalesce(F.col("_code"), F.lit(-1)))
             .drop("_code")
         )
@@ -48,25 +47,42 @@ def with_category_codes(df: DataFrame, domains: Mapping[str, DataFrame]) -> Data
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of all column pairs, long form.
+    """Pearson correlation of all column pairs, long form, from two passes.
 
-    Rows with a null in ``columns`` are left out. Undefined correlations, those
-    of a constant column, are null. The driver holds one columns × columns
-    matrix, never rows.
+    The first pass takes the means, the second sums centred products, which
+    stays accurate for any number of rows. Rows with a null in ``columns`` are
+    left out. Undefined correlations, those of a constant column, are null.
     """
     numbers = df.select(*[F.col(name).cast("double") for name in columns]).dropna()
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="numbers")
-    vectors = assembler.transform(numbers).select("numbers")
-    matrix = Correlation.corr(vectors, "numbers").first()[0].toArray()
-    variances = vectors.select(Summarizer.variance(F.col("numbers"))).first()[0]
+    means = numbers.agg(
+        *[F.avg(name) for name in columns],
+        *[F.min(name) < F.max(name) for name in columns],
+    ).first()
+    mean = dict(zip(columns, means))
+    varies = {name for name, flag in zip(columns, means[len(columns) :]) if flag}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    # As text: hundreds of expressions are far quicker to parse than to build.
+    products = numbers.agg(
+        *[
+            F.expr(f"sum((`{a}` - {mean[a]!r}D) * (`{b}` - {mean[b]!r}D)) AS `{a}|{b}`")
+            for a, b in pairs
+            if {a, b} <= varies
+        ]
+        or [F.lit(None)]
+    )
+
+    def correlation(a: str, b: str) -> str:
+        if not {a, b} <= varies:
+            return "CAST(NULL AS DOUBLE)"
+        joint = f"`{a}|{b}`" if (a, b) in pairs else f"`{b}|{a}`"
+        return f"{joint} / (sqrt(`{a}|{a}`) * sqrt(`{b}|{b}`))"
+
     cells = [
-        (a, b, float(matrix[i, j]) if variances[i] > 0 and variances[j] > 0 else None)
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
+        f"struct('{a}' AS column_a, '{b}' AS column_b, {correlation(a, b)} AS correlation)"
+        for a in columns
+        for b in columns
     ]
-    return df.sparkSession.createDataFrame(
-        cells, "column_a string, column_b string, correlation double"
-    )
+    return products.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def column_profile(df: DataFrame) -> DataFrame:

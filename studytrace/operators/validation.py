@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,13 +72,11 @@ def validate(df: DataFrame, table: str) -> Validated:
             return F.lit(False)
         return value.isNull() & F.col(field.name).isNotNull()
 
-    checked = source.withColumn(
-        FAILED,
-        F.array_compact(
-            F.array(*[F.when(failed(f), F.lit(f.name)) for f in schema])
-        ),
+    fits = reduce(Column.__and__, [~failed(field) for field in schema])
+    reasons = F.array_compact(
+        F.array(*[F.when(failed(field), F.lit(field.name)) for field in schema])
     )
-    valid = checked.filter(F.size(FAILED) == 0).select(
+    valid = source.filter(fits).select(
         *[typed(field).alias(field.name) for field in schema]
     )
-    return Validated(valid, checked.filter(F.size(FAILED) > 0))
+    return Validated(valid, source.filter(~fits).withColumn(FAILED, reasons))

@@ -1,0 +1,251 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from studytrace.functions.columns import log_order
+from studytrace.operators.history import level4_proficiency, prior_accuracy
+from studytrace.operators.joins import with_level4
+from studytrace.operators.ordered import (
+    large_groups,
+    ordinals,
+    positions,
+    previous_value,
+    running_totals,
+)
+from studytrace.plans.features import (
+    build_features,
+    content_dimensions,
+    feature_stage,
+    level4_members,
+    log_groups,
+)
+from studytrace.plans.preprocess import preprocess
+from studytrace.plans.tables import Tables
+from tests import replay
+
+HISTORY_SCHEMA = (
+    "row_id bigint, timestamp_TW timestamp_ntz, uuid string, upid string, ucid string,"
+    " level int, is_correct boolean"
+)
+
+
+def by_row(df, name):
+    return {r["row_id"]: r[name] for r in df.select("row_id", name).collect()}
+
+
+def random_log(seed, n, hot=False):
+    """Ties, null labels, null keys and levels, repeated concepts; maybe a hot key."""
+    rng = random.Random(seed)
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(n):
+        crowd = hot and rng.random() < 0.4
+        rows.append(
+            (
+                i,
+                start + timedelta(minutes=rng.randrange(n // 3)),
+                "u0" if crowd else rng.choice(["u1", "u2", "u3", None]),
+                "p0" if crowd else rng.choice(["p1", "p2", "p3", "p4", None]),
+                f"c{rng.randrange(6)}",
+                rng.choice([None, 0, 1, 2, 3, 4]),
+                rng.choice([True, False, True, None]),
+            )
+        )
+    rng.shuffle(rows)
+    return rows
+
+
+CONTENT = [(f"c{i}", f"l{i % 2}") for i in range(6)]
+
+
+def test_accuracy_uses_earlier_rows_only(short_log):
+    got = by_row(prior_accuracy(short_log, ["upid"], "v"), "v")
+    assert got == {0: 2 / 3, 1: 1.0, 2: 2 / 3}
+    got = by_row(prior_accuracy(short_log, ["uuid", "upid"], "v"), "v")
+    assert got == {0: 2 / 3, 1: 1.0, 2: 2 / 3}
+
+
+def test_null_labels_count_as_attempts(spark):
+    log = spark.createDataFrame(
+        [(0, "p", True), (1, "p", None), (2, "p", False), (3, "q", True)],
+        "row_id bigint, upid string, is_correct boolean",
+    )
+    got = by_row(prior_accuracy(log, ["upid"], "v"), "v")
+    assert got == {0: 2 / 3, 1: 2 / 3, 2: 0.5, 3: 2 / 3}
+
+
+def test_repeated_concept(spark):
+    log = spark.createDataFrame(
+        [(0, "u", "a", "l", 2), (1, "u", "b", "l", 3), (2, "u", "a", "l", 1)],
+        "row_id bigint, uuid string, ucid string, level4_id string, level int",
+    )
+    assert by_row(level4_proficiency(log, "v"), "v") == {0: 2, 1: 5, 2: 4}
+
+
+def test_ties_are_ordered_by_row_id(spark):
+    moment = datetime(2024, 1, 1)
+    log = spark.createDataFrame(
+        [
+            (5, moment, "u", "p", "c", 1, False),
+            (2, moment, "u", "p", "c", 1, True),
+        ],
+        HISTORY_SCHEMA,
+    )
+    assert by_row(prior_accuracy(log, ["upid"], "v"), "v") == {2: 0.5, 5: 1.0}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("block_rows", [1_000_000, 60])
+def test_history_equals_row_replay(spark, seed, block_rows):
+    rows = random_log(seed, 400, hot=block_rows == 60)
+    log = spark.createDataFrame(rows, HISTORY_SCHEMA)
+    content = spark.createDataFrame(CONTENT, "ucid string, level4_id string")
+    joined = with_level4(log, content)
+    ordered = replay.in_order([r.asDict() for r in log.collect()], log_order(log))
+    for keys in (["upid"], ["uuid", "upid"], ["ucid"]):
+        got = by_row(prior_accuracy(log, keys, "v", block_rows=block_rows), "v")
+        assert got == pytest.approx(replay.prior_accuracy(ordered, keys), abs=1e-12)
+    got = by_row(level4_proficiency(joined, "v", block_rows=block_rows), "v")
+    assert got == replay.level4_proficiency(ordered, dict(CONTENT))
+
+
+def test_block_plan_handles_one_time_stamp_for_all_rows(spark):
+    moment = datetime(2024, 1, 1)
+    rows = [(i, moment, "u", "p", "c", i % 5, i % 3 == 0) for i in range(300)]
+    log = spark.createDataFrame(rows, HISTORY_SCHEMA)
+    got = by_row(prior_accuracy(log, ["upid"], "v", block_rows=20), "v")
+    ordered = replay.in_order([r.asDict() for r in log.collect()], log_order(log))
+    assert got == pytest.approx(replay.prior_accuracy(ordered, ["upid"]), abs=1e-12)
+
+
+def test_blocks_are_small_even_for_one_hot_key(spark):
+    log = spark.range(10_000).select(
+        F.col("id").alias("row_id"), F.lit("hot").alias("upid")
+    )
+    large = large_groups(log, ["upid"], 500)
+    assert (large.groups, large.rows) == (1, 10_000)
+    got = running_totals(log, ["upid"], ["row_id"], {"n": F.lit(1)}, block_rows=500)
+    assert got.filter("n <> row_id").count() == 0
+    assert got.count() == 10_000
+
+
+def test_no_large_group(short_log):
+    assert large_groups(short_log, ["upid"], 3) is None
+    assert large_groups(short_log, ["upid"], 2) is None
+    assert large_groups(short_log, ["upid"], 1).groups == 1
+
+
+def test_previous_value_crosses_blocks_and_keeps_nulls(spark):
+    log = spark.range(1000).select(
+        F.col("id").alias("row_id"),
+        F.lit("k").alias("k"),
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("v"),
+    )
+    got = previous_value(log, ["k"], ["row_id"], F.col("v"), "before", block_rows=90)
+    for row in got.collect():
+        before = row["row_id"] - 1
+        expected = before if before >= 0 and before % 7 else None
+        assert row["before"] == expected
+
+
+def test_positions_and_ordinals(spark):
+    log = spark.range(1000).select((999 - F.col("id")).alias("row_id"))
+    got = positions(log, ["row_id"], "position", block_rows=64)
+    assert got.filter("position <> row_id").count() == 0
+    values = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "x string")
+    assert sorted(tuple(r) for r in ordinals(values, "x", "i").collect()) == [
+        ("a", 0),
+        ("b", 1),
+    ]
+
+
+def test_feature_stage_values(spark, stage_log, two_content):
+    user = spark.createDataFrame([("u1",), ("u2",)], "uuid string")
+    stage = feature_stage(Tables(stage_log, user, two_content))
+    assert (stage.dimensions.concepts, stage.dimensions.level4_groups) == (2, 2)
+    rows = {r["row_id"]: r for r in stage.log.collect()}
+    assert len(rows) == 3
+    assert [(rows[i]["concept_idx"], rows[i]["level"]) for i in range(3)] == [
+        (0, 1),
+        (1, 2),
+        (0, 3),
+    ]
+    assert [
+        (rows[i]["level4_idx"], rows[i]["level4_proficiency"]) for i in range(3)
+    ] == [(0, 1), (1, 2), (0, 3)]
+    assert [rows[i]["v_upid_acc"] for i in range(3)] == [2 / 3, 2 / 3, 1.0]
+
+
+@pytest.mark.parametrize("block_rows", [1_000_000, 1])
+def test_whole_run_values(raw_log, three_users, two_content, block_rows):
+    tables = Tables(raw_log, three_users, two_content)
+    for stage in (
+        build_features(tables, block_rows=block_rows),
+        feature_stage(preprocess(tables), block_rows=block_rows),
+    ):
+        rows = {r["row_id"]: r for r in stage.log.collect()}
+        assert [rows[i]["level"] for i in range(5)] == [1, 1, 4, 4, 5]
+        assert [rows[i]["v_upid_acc"] for i in range(5)] == [0.6, 0.6, 1.0, 0.0, 1.0]
+        assert [rows[i]["v_uuid_upid_acc"] for i in range(5)] == [0.6] * 5
+        assert [
+            (rows[i]["level4_idx"], rows[i]["level4_proficiency"]) for i in range(5)
+        ] == [(0, 1), (1, 1), (0, 4), (1, 4), (0, 5)]
+
+
+def test_repeated_user_rows_count_in_the_overall_accuracy(raw_log, three_users, two_content):
+    twice = three_users.unionByName(three_users.filter("uuid = 'u1'"))
+    stage = build_features(Tables(raw_log, twice, two_content))
+    first = stage.log.filter("row_id = 0").select("v_uuid_upid_acc").collect()
+    assert stage.log.count() == 7
+    # Labels T, T, F, F of the doubled user, T, F, T of the others.
+    assert 4 / 7 in [r[0] for r in first]
+
+
+def test_strict_stage_rejects_unknown_keys(raw_log, three_users, two_content):
+    with pytest.raises(KeyError, match="ucid"):
+        build_features(Tables(raw_log, three_users, two_content.filter("ucid = 'c1'")))
+    with pytest.raises(KeyError, match="uuid"):
+        build_features(Tables(raw_log, three_users.filter("uuid = 'u1'"), two_content))
+    lenient = build_features(
+        Tables(raw_log, three_users, two_content.filter("ucid = 'c1'")), strict=False
+    )
+    rows = {r["row_id"]: r["level4_proficiency"] for r in lenient.log.collect()}
+    assert rows == {0: 1, 1: None, 2: 4, 3: None, 4: 5}
+
+
+def test_content_is_checked(spark, two_content):
+    with pytest.raises(ValueError, match="level4_id"):
+        content_dimensions(two_content.drop("level4_id"))
+    with pytest.raises(ValueError, match="duplicate ucid"):
+        content_dimensions(two_content.unionByName(two_content))
+    content = spark.createDataFrame(CONTENT, "ucid string, level4_id string")
+    members = level4_members(content_dimensions(content)).collect()
+    assert {r["level4_id"]: r["concept_indices"] for r in members} == {
+        "l0": [0, 2, 4],
+        "l1": [1, 3, 5],
+    }
+
+
+def test_group_sizes(spark, raw_log, two_content):
+    dims = content_dimensions(two_content)
+    assert log_groups(raw_log, dims, 10).users_fit
+    groups = log_groups(raw_log, dims, 2)
+    assert groups.users_fit and groups.problem.groups == 1
+    groups = log_groups(raw_log, dims, 1)
+    assert not groups.users_fit and groups.user_concept is None
+    nameless = raw_log.withColumn("uuid", F.lit(None).cast("string"))
+    assert not log_groups(nameless, dims, 2).users_fit
+
+
+def test_plan_has_one_shuffle_per_key_and_no_python(spark, sf_dir, capsys):
+    from studytrace.checks.queries import event_features
+
+    event_features(spark, sf_dir).log.explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "CartesianProduct" not in plan
+    assert plan.count("Exchange hashpartitioning(uuid") == 1
+    assert plan.count("Exchange hashpartitioning(upid") == 1
