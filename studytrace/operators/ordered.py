@@ -27,7 +27,9 @@ from pyspark.sql import WindowSpec
 from studytrace.functions.columns import ascending, order_tuple
 from studytrace.session import durable
 
-BLOCK_ROWS = 4_000_000
+BLOCK_ROWS = 2_000_000
+# Beyond this many blocks, blocks grow instead, to keep the shuffle's size sane.
+MAX_BLOCKS = 20_000
 BROADCAST_ROWS = 500_000
 
 MEASURE = "measure"
@@ -140,7 +142,7 @@ def _in_blocks(
         rest = parts.filter(F.col(_LARGE) == 0).drop(_LARGE)
         heavy = parts.filter(F.col(_LARGE) == 1).drop(_LARGE)
 
-    blocks = max(2, math.ceil(large.rows / block_rows))
+    blocks = min(max(2, math.ceil(large.rows / block_rows)), MAX_BLOCKS)
     # The block number depends on sampled range bounds, so it is pinned before
     # two branches of the plan read it.
     pinned = durable(

@@ -68,15 +68,25 @@ def up_to(df: DataFrame, order: Sequence[str], last: Row) -> Column:
     return order_tuple(order) <= bound
 
 
+def column_slots(df: DataFrame, name: str) -> list[Column]:
+    """Coarse-to-fine slots of one ascending column, few per coarser slot."""
+    dtype, column = df.schema[name].dataType, F.col(name)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        slots = [F.date_trunc(unit, name) for unit in ("day", "minute", "second")]
+    elif isinstance(dtype, T.LongType):
+        slots = [F.shiftright(name, bits) for bits in (40, 20)]
+    elif isinstance(dtype, T.IntegerType):
+        slots = [F.shiftright(name, 16)]
+    elif isinstance(dtype, T.StringType):
+        slots = [F.substring(name, 1, length) for length in (2, 4, 6, 8, 12, 16)]
+    else:
+        slots = []
+    return [*slots, column]
+
+
 def log_slots(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Coarse-to-fine slots of a log order."""
-    lead = df.schema[order[0]].dataType
-    slots = []
-    if isinstance(lead, (T.TimestampType, T.TimestampNTZType)):
-        slots = [F.date_trunc(unit, order[0]) for unit in ("day", "minute", "second")]
-    elif isinstance(lead, T.IntegralType):
-        slots = [F.shiftright(order[0], 20), F.shiftright(order[0], 10)]
-    return [*slots, *[F.col(name) for name in order]]
+    """Coarse-to-fine slots of a whole order."""
+    return [slot for name in order for slot in column_slots(df, name)]
 
 
 def head_in_order(
@@ -133,6 +143,8 @@ def train_test_split(
         return df.withColumn("is_train", F.lit(False))
     hashed = df.withColumn(_HASH, split_hash(key, seed))
     order = [_HASH, *key]
-    prefixes = [F.substring(_HASH, 1, digits) for digits in (4, 8, 12)]
-    last = nth_row(hashed, order, [*prefixes, F.col(_HASH)], wanted, total)
+    # Four hex digits at a time: 65,536 slots each.
+    slots = [F.substring(_HASH, 1, digits) for digits in (4, 8, 12, 32)]
+    slots += log_slots(hashed, key)
+    last = nth_row(hashed, order, slots, wanted, total)
     return hashed.withColumn("is_train", up_to(hashed, order, last)).drop(_HASH)

@@ -94,18 +94,22 @@ def log_groups(
 ) -> LogGroups:
     """Measure the groups once, on the source log, reading key columns only.
 
-    A small log holds no large group, and without a large user no group below
-    a user is large. Rows without a user count as one user here.
+    A small log holds no large group, and only a large user can have a large
+    group below it. Rows without a user count as one user here.
     """
     total = log.count()
     if total <= block_rows:
         return LogGroups()
     problem = large_groups(log, ["upid"], block_rows, total)
     nameless = log.filter(F.col("uuid").isNull()).count()
-    if large_groups(log, ["uuid"], block_rows, total) is None:
+    users = large_groups(log, ["uuid"], block_rows, total)
+    if users is None:
         return LogGroups(users_fit=nameless <= block_rows, problem=problem)
     keys = [c for c in ("uuid", "ucid", "upid", "level4_id") if c in log.columns]
-    indexed = with_content_index(log.select(*keys), dimensions)
+    theirs = log.select(*keys).join(
+        bounded_broadcast(users.frame, users.groups), "uuid", "left_semi"
+    )
+    indexed = with_content_index(theirs, dimensions)
     return LogGroups(
         False,
         problem,
