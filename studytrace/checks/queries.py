@@ -17,7 +17,7 @@ from studytrace.checks.adapters import (
     order_tables,
     part_content,
 )
-from studytrace.functions.columns import log_order
+from studytrace.functions.columns import between, log_order
 from studytrace.layout import Layout
 from studytrace.operators.assemble import (
     LEVEL4_BLOCK,
@@ -64,11 +64,12 @@ from studytrace.plans.jobs import (
 )
 from studytrace.plans.preprocess import (
     in_log_order,
+    preprocess,
     preprocess_log,
     with_gender_flags,
     with_level_before_attempt,
 )
-from studytrace.plans.tables import Tables, time_slice
+from studytrace.plans.tables import Tables
 from studytrace.plans.training import (
     LINEAR_SVM,
     MODEL_TYPES,
@@ -106,9 +107,12 @@ ALL_TIME = (datetime(2000, 1, 1), datetime(2100, 1, 1))
 SMALL_BLOCK_ROWS = 500
 
 
+def clean_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preprocess_log(event_log(spark, sf_dir), event_user(spark, sf_dir))
+
+
 def preprocessed(spark: SparkSession, sf_dir: str) -> Tables:
-    tables = event_tables(spark, sf_dir)
-    return Tables(preprocess_log(tables.log, tables.user), tables.user, tables.content)
+    return preprocess(event_tables(spark, sf_dir))
 
 
 def event_features(spark: SparkSession, sf_dir: str) -> FeatureStage:
@@ -119,25 +123,26 @@ def event_features(spark: SparkSession, sf_dir: str) -> FeatureStage:
 
 
 def log_time_slice(spark, sf_dir):
-    log = time_slice(event_tables(spark, sf_dir), *SLICE).log
+    log = event_log(spark, sf_dir)
+    log = log.filter(between(log, "timestamp_TW", *SLICE))
     return log.select("row_id", "timestamp_TW", "uuid", "ucid", "upid", "is_correct")
 
 
 def users_in_slice(spark, sf_dir):
-    return time_slice(event_tables(spark, sf_dir), *SLICE).user
+    log = event_log(spark, sf_dir)
+    log = log.filter(between(log, "timestamp_TW", *SLICE))
+    return users_of(log, event_user(spark, sf_dir))
 
 
 def log_with_user_attrs(spark, sf_dir):
-    tables = event_tables(spark, sf_dir)
-    joined = with_user_attributes(tables.log, tables.user)
+    joined = with_user_attributes(event_log(spark, sf_dir), event_user(spark, sf_dir))
     gender = F.coalesce("gender", F.lit("unspecified"))
     return joined.select("row_id", "uuid", "user_grade", gender.alias("gender"))
 
 
 def gender_flags(spark, sf_dir):
-    tables = event_tables(spark, sf_dir)
-    flagged = with_gender_flags(with_user_attributes(tables.log, tables.user))
-    return flagged.select("row_id", "female", "male", "unspecified")
+    joined = with_user_attributes(event_log(spark, sf_dir), event_user(spark, sf_dir))
+    return with_gender_flags(joined).select("row_id", "female", "male", "unspecified")
 
 
 def level_before_attempt(spark, sf_dir):
@@ -145,7 +150,7 @@ def level_before_attempt(spark, sf_dir):
 
 
 def preprocessed_log(spark, sf_dir):
-    return in_log_order(preprocessed(spark, sf_dir).log)
+    return in_log_order(clean_log(spark, sf_dir))
 
 
 # History features
@@ -372,7 +377,7 @@ def correlations(spark, sf_dir):
 
 
 def column_profiles(spark, sf_dir):
-    return column_profile(preprocessed(spark, sf_dir).log).drop("data_type")
+    return column_profile(clean_log(spark, sf_dir)).drop("data_type")
 
 
 def domain_values(spark, sf_dir):

@@ -50,9 +50,7 @@ def prior_accuracy(
     )
     share = F.col("_correct") / F.nullif(F.col("_attempts"), F.lit(0))
     known = F.when(label.isNotNull() & ~any_null(keys), share)
-    return counted.withColumn(name, F.coalesce(known, fallback)).drop(
-        "_correct", "_attempts"
-    )
+    return counted.select(*log.columns, F.coalesce(known, fallback).alias(name))
 
 
 def level4_proficiency(

@@ -36,7 +36,6 @@ MEASURE = "measure"
 
 _BLOCK = "_block"
 _LARGE = "_large"
-_SPREAD = "_spread"
 
 
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -85,32 +84,26 @@ def large_groups(
 
 def any_null(names: Sequence[str]) -> Column:
     """True when one of the columns is null."""
-    condition = F.lit(False)
-    for name in names:
-        condition = condition | F.col(name).isNull()
-    return condition
+    return F.expr(" OR ".join(f"`{name}` IS NULL" for name in names) or "false")
 
 
-def _spread_nulls(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add a partition column that scatters rows lacking a key.
-
-    Such rows belong to no group, and there may be very many of them; a window
-    would otherwise gather them all in one task.
-    """
-    scattered = F.when(any_null(keys), F.xxhash64(*order))
-    return df.withColumn(_SPREAD, scattered if keys else F.lit(None).cast("bigint"))
-
-
-def _window(partition: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    """Ordered window; partition columns are constant, so they drop out of the order."""
-    inner = [name for name in order if name not in partition]
+def _window(
+    keys: Sequence[str], order: Sequence[str], scatter: Column | None = None
+) -> WindowSpec:
+    """Ordered window; key columns are constant in it, so they drop out of the order."""
+    partition = [*keys] if scatter is None else [*keys, scatter]
+    inner = [name for name in order if name not in keys]
     return W.partitionBy(*partition).orderBy(*ascending(inner or order))
 
 
 def _in_windows(df, keys, order, windowed: Callable) -> DataFrame:
-    """Apply ``windowed(rows, partition)`` to whole groups."""
-    rows = _spread_nulls(df, keys, order)
-    return windowed(rows, [*keys, _SPREAD] if keys else []).drop(_SPREAD)
+    """Apply ``windowed(rows, keys, scatter)`` to whole groups.
+
+    Rows lacking a key belong to no group, and there may be very many of them.
+    A plain window would gather them all in one task; ``scatter`` spreads them.
+    """
+    scatter = F.when(any_null(keys), F.xxhash64(*order)) if keys else None
+    return windowed(df, keys, scatter)
 
 
 def _in_blocks(
@@ -156,7 +149,7 @@ def _in_blocks(
     carry = summary.select(
         *keys, _BLOCK, *[column.alias(name) for name, column in carried.items()]
     )
-    local = windowed(pinned, [*keys, _BLOCK])
+    local = windowed(pinned, [*keys, _BLOCK], None)
     # A block is one partition, so blocks + groups bounds the carry rows.
     joined = local.join(
         bounded_broadcast(carry, blocks + large.groups), [*keys, _BLOCK]
@@ -185,8 +178,8 @@ def running_totals(
     """
     end = W.currentRow if include_current else -1
 
-    def windowed(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = _window(partition, order).rowsBetween(W.unboundedPreceding, end)
+    def windowed(rows: DataFrame, within: Sequence[str], scatter) -> DataFrame:
+        window = _window(within, order, scatter).rowsBetween(W.unboundedPreceding, end)
         return rows.withColumns(
             {
                 name: F.when(
@@ -232,15 +225,15 @@ def previous_value(
     """Add ``value`` of the row just before in the ``keys`` group, null if none."""
     first = "_first_of_block"
 
-    def windowed(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = _window(partition, order)
+    def windowed(rows: DataFrame, within: Sequence[str], scatter) -> DataFrame:
+        window = _window(within, order, scatter)
         return rows.withColumn(
             name, F.when(~any_null(keys), F.lag(value).over(window))
         )
 
-    def windowed_in_block(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = _window(partition, order)
-        return windowed(rows, partition).withColumn(
+    def windowed_in_block(rows: DataFrame, within: Sequence[str], scatter) -> DataFrame:
+        window = _window(within, order, scatter)
+        return windowed(rows, within, scatter).withColumn(
             first, F.row_number().over(window) == 1
         )
 

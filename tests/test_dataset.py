@@ -70,7 +70,7 @@ def test_sample_size_is_clamped(split_log):
     assert split_rows(split_log, 0).count() == 0
 
 
-@pytest.mark.parametrize("n", [0, 1, 4, 5, 7, 999, 1000])
+@pytest.mark.parametrize("n", [0, 1, 4, 1000])
 def test_split_is_exact_and_reproducible(spark, n):
     log = spark.range(n).withColumnRenamed("id", "row_id")
     split = train_test_split(log)
@@ -98,7 +98,7 @@ def test_split_by_primary_key(spark):
     assert train_test_split(log).filter("is_train").count() == 16
 
 
-@pytest.mark.parametrize("n", [1, 2, 17, 299, 300])
+@pytest.mark.parametrize("n", [1, 17, 299])
 def test_prefix_by_counting_slots(spark, monkeypatch, n):
     """With a tiny finishing size, every slot level is walked, ties included."""
     monkeypatch.setattr(selection, "FINISH_ROWS", 1)
