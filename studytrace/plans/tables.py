@@ -19,7 +19,13 @@ class Tables:
     content: DataFrame
 
 
+def log_slice(tables: Tables, start, end) -> Tables:
+    """Log rows in ``[start, end)``, all users, all content."""
+    log = tables.log.filter(between(tables.log, "timestamp_TW", start, end))
+    return Tables(log, tables.user, tables.content)
+
+
 def time_slice(tables: Tables, start, end) -> Tables:
     """Log rows in ``[start, end)``, the users occurring there, all content."""
-    log = tables.log.filter(between(tables.log, "timestamp_TW", start, end))
-    return Tables(log, users_of(log, tables.user), tables.content)
+    cut = log_slice(tables, start, end)
+    return Tables(cut.log, users_of(cut.log, cut.user), cut.content)
