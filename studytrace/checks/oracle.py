@@ -479,8 +479,10 @@ ORACLE = {
     FROM text_log WHERE {FAILED} = ''""",
     "first_login_date": with_(USERS)
     + 'SELECT uuid, CAST("first_login_date_TW" AS DATE) AS "first_login_date_TW" FROM users',
-    "duplicate_keys": with_(ORDER_LOG)
-    + 'SELECT "timestamp_TW", uuid, upid, count(*) AS row_count FROM order_log'
+    "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem"
+    + " GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+    "duplicate_primary_keys": with_(LOG)
+    + 'SELECT "timestamp_TW", uuid, upid, count(*) AS row_count FROM log'
     + ' GROUP BY "timestamp_TW", uuid, upid HAVING count(*) > 1',
     "orphan_keys": with_(LOG, USERS)
     + "SELECT uuid, count(*) AS row_count FROM log"

@@ -13,9 +13,9 @@ from studytrace.checks.adapters import (
     event_tables,
     event_text_log,
     event_user,
-    order_log,
     order_tables,
     part_content,
+    table,
 )
 from studytrace.functions.columns import between, log_order
 from studytrace.layout import Layout
@@ -89,6 +89,7 @@ from studytrace.schemas import (
     BENCHMARK_COLUMNS,
     DOMAINS,
     EXPLORE_COLUMNS,
+    PRIMARY_KEYS,
     SCALAR_FEATURES,
 )
 from studytrace.session import durable, scratch_path
@@ -409,8 +410,13 @@ def first_login_date(spark, sf_dir):
     return prepare_users(event_user(spark, sf_dir)).select("uuid", "first_login_date_TW")
 
 
-def duplicate_log_keys(spark, sf_dir):
-    return duplicate_keys(order_log(spark, sf_dir), ("timestamp_TW", "uuid", "upid"))
+def duplicate_line_keys(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return duplicate_keys(lines, ("l_orderkey", "l_linenumber"))
+
+
+def duplicate_primary_keys(spark, sf_dir):
+    return duplicate_keys(event_log(spark, sf_dir), PRIMARY_KEYS["log_problem"])
 
 
 def orphan_users(spark, sf_dir):
@@ -550,7 +556,8 @@ QUERIES = {
     "validation_rejects": validation_rejects,
     "validation_accepted": validation_accepted,
     "first_login_date": first_login_date,
-    "duplicate_keys": duplicate_log_keys,
+    "duplicate_keys": duplicate_line_keys,
+    "duplicate_primary_keys": duplicate_primary_keys,
     "orphan_keys": orphan_users,
     "stage_summary": stage_summary,
     "csv_roundtrip": csv_roundtrip,

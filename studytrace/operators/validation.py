@@ -55,6 +55,9 @@ def validate(df: DataFrame, table: str) -> Validated:
     require_columns(df, [f.name for f in schema if not f.nullable], table)
     source = nan_to_null(df)
 
+    def already_typed(field: T.StructField) -> bool:
+        return source.schema[field.name].dataType == field.dataType
+
     def typed(field: T.StructField) -> Column:
         if field.name not in df.columns:
             return F.lit(None).cast(field.dataType)
@@ -62,6 +65,8 @@ def validate(df: DataFrame, table: str) -> Validated:
             return as_flag(source, field.name)
         if field.name in domains:
             return within(field.name, domains[field.name])
+        if already_typed(field):
+            return F.col(field.name)
         return F.col(field.name).try_cast(field.dataType)
 
     def failed(field: T.StructField) -> Column:
@@ -70,6 +75,8 @@ def validate(df: DataFrame, table: str) -> Validated:
             return value.isNull()
         if field.name in FLAG_COLUMNS or field.name not in df.columns:
             return F.lit(False)
+        if already_typed(field) and field.name not in domains:
+            return F.lit(False)
         return value.isNull() & F.col(field.name).isNotNull()
 
     fits = reduce(Column.__and__, [~failed(field) for field in schema])
