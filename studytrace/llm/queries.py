@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+from studytrace.llm.credentials import OP4_SQL, op4_secret_ownership
 from studytrace.llm.fingerprints import OP10_SQL, op10_spot_signatures
+from studytrace.llm.importance import op9_importance_resampling
 from studytrace.llm.mixing import OP2_SQL, op2_poisson_mix
-from studytrace.llm.secrets import OP4_SQL, op4_secret_ownership
+from studytrace.llm.pieces import op8_sentencepiece
+from studytrace.llm.search import OP3_SQL, op3_pivot_distance
 from studytrace.llm.sharding import op5_histogram_sort
+from studytrace.llm.toxicity import op1_nnpu_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_nnpu_toxicity,
         op2_poisson_mix,
+        op3_pivot_distance,
         op4_secret_ownership,
         op5_histogram_sort,
+        op8_sentencepiece,
+        op9_importance_resampling,
         op10_spot_signatures,
     )
 }
 SQL = {
     "op2_poisson_mix": OP2_SQL,
+    "op3_pivot_distance": OP3_SQL,
     "op4_secret_ownership": OP4_SQL,
     "op10_spot_signatures": OP10_SQL,
 }

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from studytrace.llm.common import table, text_or_empty, with_row_id
+from studytrace.llm.common import small_or_shuffled, table, text_or_empty, with_row_id
 from studytrace.session import durable
 
 SHARDS = 16
@@ -26,6 +26,8 @@ PIECE_ROWS = 100_000
 MAX_PIECES = 4_096
 _KEYS = ("_hash", "_id", "_row")
 _CELL_BITS = 12
+#: Cells with at most this many rows are finished from their rows.
+_FEW = 256
 _LONG_BITS = 64
 _WORDS = len(_KEYS) * _LONG_BITS
 
@@ -39,6 +41,7 @@ class _Open:
     bits: int
     prefix: int
     below: int
+    rows: int
 
 
 def _unsigned_digits(word: Column, start: int, width: int) -> Column:
@@ -67,14 +70,17 @@ def splitters(rows: DataFrame, parts: int, tolerance: float = TOLERANCE) -> list
     """``parts`` - 1 ascending boundaries: 192-bit keys; a row below one lies left of it.
 
     ``rows`` has the three key columns and ``size``. Each round sends at most
-    4,096 counts per sought boundary to the driver. A boundary whose cell can
-    not be divided further (a row) is set at the nearer side of that row.
+    4,096 counts per sought boundary to the driver. A boundary that no cell edge
+    serves is set at the nearer side of the row that holds it; cells of up to
+    256 rows are looked through directly.
     """
     total = rows.agg(F.sum("size").alias("s")).first()["s"] or 0
     slack = tolerance * total / parts
     found: dict[int, int] = {}
-    open_ = [_Open(i, i * total // parts, 0, 0, 0) for i in range(1, parts)]
-    while open_:
+    open_ = [_Open(i, i * total // parts, 0, 0, 0, _FEW + 1) for i in range(1, parts)]
+    while any(o.rows > _FEW for o in open_):
+        done = [o for o in open_ if o.rows <= _FEW]
+        open_ = [o for o in open_ if o.rows > _FEW]
         cells = sorted({(o.bits, o.prefix) for o in open_})
         bits = cells[0][0]
         start = bits % _LONG_BITS
@@ -87,17 +93,17 @@ def splitters(rows: DataFrame, parts: int, tolerance: float = TOLERANCE) -> list
             rows.withColumn("cell", number)
             .filter("cell IS NOT NULL")
             .groupBy("cell", _unsigned_digits(word, start, width).alias("digit"))
-            .agg(F.sum("size").alias("size"))
+            .agg(F.sum("size").alias("size"), F.count("*").alias("n"))
             .collect()
         )
-        by_cell: dict[int, list[tuple[int, int]]] = {}
+        by_cell: dict[int, list[tuple[int, int, int]]] = {}
         for row in counted:
-            by_cell.setdefault(row["cell"], []).append((row["digit"], row["size"]))
+            by_cell.setdefault(row["cell"], []).append((row["digit"], row["size"], row["n"]))
         last = bits + width == _WORDS
-        still = []
+        still = done
         for o in open_:
             below = o.below
-            for digit, size in sorted(by_cell[cells.index((bits, o.prefix))]):
+            for digit, size, n in sorted(by_cell[cells.index((bits, o.prefix))]):
                 if below + size >= o.target:
                     break
                 below += size
@@ -107,11 +113,39 @@ def splitters(rows: DataFrame, parts: int, tolerance: float = TOLERANCE) -> list
                 edge = key if left <= right else key + 1
                 found[o.number] = edge << (_WORDS - bits - width)
             else:
-                still.append(_Open(o.number, o.target, bits + width, key, below))
+                still.append(_Open(o.number, o.target, bits + width, key, below, n))
         open_ = still
+    found.update(_finished(rows, open_))
     return [found[i] for i in sorted(found)]
 
 
+def _finished(rows: DataFrame, open_: list[_Open]) -> dict[int, int]:
+    """The boundaries in cells of few rows, each at the nearer side of a row."""
+    if not open_:
+        return {}
+    inside = F.lit(False)
+    for o in open_:
+        inside = inside | _in_cell(o.prefix, o.bits)
+    held = []
+    for row in rows.filter(inside).select(*_KEYS, "size").collect():
+        key = 0
+        for name in _KEYS:
+            key = key << _LONG_BITS | row[name] + 2**63
+        held.append((key, row["size"]))
+    held.sort()
+    found = {}
+    for o in open_:
+        below = o.below
+        for key, size in held:
+            if key >> (_WORDS - o.bits) != o.prefix:
+                continue
+            if below + size >= o.target:
+                found[o.number] = key if o.target - below <= below + size - o.target else key + 1
+                break
+            below += size
+    return found
+
+
 def _at_or_above(splitter: int) -> Column:
     """True for rows whose key is not below a boundary."""
     words = [
@@ -157,12 +191,8 @@ def shard_by_bytes(
     bounds = splitters(keyed, shards, tolerance)
     shard = sum((_at_or_above(b).cast("int") for b in bounds), F.lit(0))
     # Numbering a shard in one task would bind the work to the shard count, so
-    # its key range is cut into pieces, by the leading bits of the hash; a hash
-    # that many rows share is cut by the row number too.
-    pieces = max(1, min(MAX_PIECES, count // PIECE_ROWS * 2 or shards))
-    bits = max(1, (pieces - 1).bit_length())
-    piece = _unsigned_digits(F.col("_hash"), 0, bits)
-    placed = keyed.withColumn("shard", shard).withColumn("_piece", piece.cast("int"))
+    # rows are numbered in pieces of the key order.
+    placed = keyed.withColumn("shard", shard).withColumn("_piece", _piece(keyed, count))
     held = placed.groupBy("shard", "_piece").agg(F.count("*").alias("held"))
     before = W.partitionBy("shard").orderBy("_piece")
     offsets = held.select(
@@ -171,7 +201,7 @@ def shard_by_bytes(
     in_piece = W.partitionBy("shard", "_piece").orderBy(*_KEYS)
     return (
         placed.withColumn("rank", F.row_number().over(in_piece))
-        .join(F.broadcast(offsets), ["shard", "_piece"])  # MAX_PIECES + shards rows at most
+        .join(small_or_shuffled(offsets), ["shard", "_piece"])
         .select(
             "doc_id",
             "size",
@@ -182,6 +212,38 @@ def shard_by_bytes(
     )
 
 
+def _piece(keyed: DataFrame, count: int) -> Column:
+    """A number of the row's piece of the key order, ascending along it.
+
+    Pieces share the leading bits of the hash. A hash that more rows share than
+    a task should number is a run of pieces of its own, cut by ``_id``.
+    """
+    wanted = min(MAX_PIECES, max(SHARDS, count // PIECE_ROWS * 2))
+    leading = _unsigned_digits(F.col("_hash"), 0, (wanted - 1).bit_length())
+    limit = max(PIECE_ROWS, count // MAX_PIECES)
+    hot = keyed.groupBy("_hash").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    shares = [i / 100 for i in range(1, 100)]
+    hot = (
+        keyed.join(F.broadcast(hot), "_hash")  # count / limit rows: MAX_PIECES at most
+        .groupBy("_hash")
+        .agg(F.percentile_approx("_id", shares, 1_000).alias("ids"))
+        .collect()
+    )
+    hashes = sorted(row["_hash"] for row in hot)
+    if not hashes:
+        return F.struct(leading.alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"))
+    listed = F.array(*[F.lit(h) for h in hashes])
+    run = F.size(F.filter(listed, lambda h: h < F.col("_hash"))) + F.size(
+        F.filter(listed, lambda h: h <= F.col("_hash"))
+    )
+    cut = F.lit(0)
+    for row in hot:
+        ids = F.array(*[F.lit(i) for i in sorted(set(row["ids"]))])
+        inside = F.size(F.filter(ids, lambda i: i < F.col("_id")))
+        cut = F.when(F.col("_hash") == F.lit(row["_hash"]), inside).otherwise(cut)
+    return F.struct(leading.alias("a"), run.alias("b"), cut.alias("c"))
+
+
 def op5_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
     sharded = shard_by_bytes(table(spark, folder, "documents"))
