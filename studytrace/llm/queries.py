@@ -6,6 +6,7 @@ from studytrace.llm.credentials import OP4_SQL, op4_secret_ownership
 from studytrace.llm.fingerprints import OP10_SQL, op10_spot_signatures
 from studytrace.llm.importance import op9_importance_resampling
 from studytrace.llm.mixing import OP2_SQL, op2_poisson_mix
+from studytrace.llm.order_minhash import op6_order_minhash
 from studytrace.llm.pieces import op8_sentencepiece
 from studytrace.llm.search import OP3_SQL, op3_pivot_distance
 from studytrace.llm.sharding import op5_histogram_sort
@@ -19,6 +20,7 @@ QUERIES = {
         op3_pivot_distance,
         op4_secret_ownership,
         op5_histogram_sort,
+        op6_order_minhash,
         op8_sentencepiece,
         op9_importance_resampling,
         op10_spot_signatures,

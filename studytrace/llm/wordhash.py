@@ -14,13 +14,13 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_CHARS = 4_000_000
 
 
-def blocks(texts: pd.Series) -> Iterator[list[str]]:
+def blocks(texts: pd.Series, chars: int = BLOCK_CHARS) -> Iterator[list[str]]:
     """Runs of texts of a few million characters; a longer text stands alone."""
     block, held = [], 0
     for text in texts:
         block.append(text or "")
         held += len(block[-1])
-        if held >= BLOCK_CHARS:
+        if held >= chars:
             yield block
             block, held = [], 0
     if block:
