@@ -10,6 +10,7 @@ from studytrace.llm.order_minhash import op6_order_minhash
 from studytrace.llm.pieces import op8_sentencepiece
 from studytrace.llm.search import OP3_SQL, op3_pivot_distance
 from studytrace.llm.sharding import op5_histogram_sort
+from studytrace.llm.substrings import op7_suffix_dedup
 from studytrace.llm.toxicity import op1_nnpu_toxicity
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
         op4_secret_ownership,
         op5_histogram_sort,
         op6_order_minhash,
+        op7_suffix_dedup,
         op8_sentencepiece,
         op9_importance_resampling,
         op10_spot_signatures,
