@@ -31,10 +31,10 @@ BATCH_BYTES = 1_000_000
 #: Window starts hashed at a time: these arrays stay in a core's cache.
 STRETCH = 1 << 17
 #: Corpus bytes per shard, and the least number of shards.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 2_000_000
 LEAST_SHARDS = 96
 #: Fragment bytes whose suffixes are sorted at a time.
-SORT_BYTES = 1_000_000
+SORT_BYTES = 500_000
 _GRAM_FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _SENT_BITS = 48  # of a least hash, when only its repetition is counted
