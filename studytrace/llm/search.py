@@ -36,6 +36,7 @@ PART_ROWS = 4_096
 QUERY_ROWS = 65_536
 #: Annuli a query has visited after each round; the last round visits the rest.
 ROUNDS = (2, 24, PIVOTS * RINGS)
+LARGEST = 2**62
 _EXACT = 2**53
 _LONG = 2**63 - 1
 
@@ -44,12 +45,16 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(uid, vec_id, ints): each component x as floor(scale · x).
 
     Vectors that are null or hold a null or non-finite component are left out.
+    Integers beyond ``LARGEST`` in size are held there.
     """
     x = F.col("embedding")
     finite = F.forall(
         x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(math.inf))
     )
-    ints = F.transform(x, lambda v: F.floor(v.cast("double") * scale))
+    most = F.lit(float(LARGEST))
+    ints = F.transform(
+        x, lambda v: F.floor(F.greatest(F.least(v.cast("double") * scale, most), -most))
+    )
     rows = with_row_id(vectors.select("vec_id", "embedding"))
     return rows.filter(x.isNotNull() & finite).select("uid", "vec_id", ints.alias("ints"))
 

@@ -146,6 +146,8 @@ def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
 def _distinct_hashes(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """Per shard, the ascending distinct hashes."""
     distinct = np.unique(hashes)
+    if not len(distinct):
+        return
     shard = _shard_of(distinct, shards)
     first = np.flatnonzero(np.diff(shard, prepend=-1))
     for begin, end in zip(first, np.append(first[1:], len(shard)), strict=True):

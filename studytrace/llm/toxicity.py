@@ -22,8 +22,9 @@ BUCKETS = 2**BUCKETS_LOG
 #: Leading characters that are features besides the whole word: stems of
 #: inflected words.
 PREFIXES = (4, 5, 6)
-#: Classifiers, each trained in one task on its own share of the sample.
-BAGS = 4
+#: At most so many classifiers, each trained in one task on its own share of the
+#: sample, which has about this many toxic texts at least.
+BAGS, BAG_TOXIC = 4, 200
 #: At most this many texts, in hash order, are used as unlabelled.
 UNLABELLED_BOUND = 20_000
 #: A feature is used if it is this much commoner in toxic texts.
@@ -109,7 +110,7 @@ def train_nnpu(
 
 
 def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
-    """Mean weights (one per bucket) and bias of ``BAGS`` classifiers.
+    """Mean weights (one per bucket) and bias of up to ``BAGS`` classifiers.
 
     Only rows that are not held out are used: the toxic ones among at most
     ``LABEL_BOUND`` labelled documents, and at most ``UNLABELLED_BOUND`` texts
@@ -118,9 +119,11 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
     """
     usable = docs.filter(~held_out()).select("doc_id", "text")
     known = label_sample(labels.filter(~held_out()), "toxic", LABEL_BOUND)
-    prior = known.agg(F.avg("toxic").alias("p")).first()["p"]
+    toxic = known.agg(F.avg("toxic").alias("share"), F.sum("toxic").alias("n")).first()
+    prior = toxic["share"]
     if not prior:
         return None
+    bags = min(BAGS, max(1, toxic["n"] // BAG_TOXIC))
     unlabelled = (
         usable.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(UNLABELLED_BOUND)
     ).distinct()
@@ -143,7 +146,7 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
 
     # A document repeated under one id is taken once.
     sample = usable.join(F.broadcast(roles), "doc_id").dropDuplicates(["doc_id"])
-    extracted = sample.withColumn("bag", F.pmod(F.xxhash64("doc_id", F.lit(2)), BAGS).cast("int")).mapInPandas(
+    extracted = sample.withColumn("bag", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(bags)).cast("int")).mapInPandas(
         extract, "doc_id long, toxic boolean, unknown boolean, bag int, buckets array<int>"
     )
 
