@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-TABLES = ("customer", "events", "lineitem", "orders", "part")
+TABLES = ("customer", "events", "lineitem", "orders", "part", "documents", "embeddings")
 
 
 @pytest.fixture(scope="module")
