@@ -51,7 +51,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of customers without debt, so some log users have none."""
+    """Profiles of all customers; those in debt get ids that no log row has."""
     key = F.col("c_custkey")
     segment = F.col("c_mktsegment")
     gender = (
@@ -65,9 +65,11 @@ def event_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.lpad((1 + key % 28).cast("string"), 2, "0")
     return (
         table(spark, sf_dir, "customer")
-        .filter(F.col("c_acctbal") >= 0)
         .select(
-            key.cast("string").alias("uuid"),
+            # Customers in debt are users without any log row.
+            F.when(F.col("c_acctbal") >= 0, key.cast("string"))
+            .otherwise(F.concat(F.lit("x-"), key))
+            .alias("uuid"),
             gender.alias("gender"),
             F.floor("c_acctbal").cast("int").alias("points"),
             (key % 30).cast("int").alias("badges_cnt"),

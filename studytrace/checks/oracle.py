@@ -21,7 +21,7 @@ LOG = """log AS (
 )"""
 
 USERS = """users AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS uuid,
+  SELECT CASE WHEN c_acctbal >= 0 THEN '' ELSE 'x-' END || c_custkey AS uuid,
     CASE c_mktsegment WHEN 'BUILDING' THEN 'female' WHEN 'MACHINERY' THEN 'male'
       WHEN 'AUTOMOBILE' THEN 'other' WHEN 'FURNITURE' THEN NULL ELSE 'unspecified' END
       AS gender,
@@ -36,7 +36,7 @@ USERS = """users AS (
     CAST(c_custkey % 5 AS INTEGER) AS has_student_cnt,
     CAST(c_custkey % 4 AS INTEGER) AS belongs_to_class_cnt,
     CAST(c_custkey % 2 AS INTEGER) AS has_class_cnt
-  FROM customer WHERE c_acctbal >= 0
+  FROM customer
 )"""
 
 CONTENT = """content AS (

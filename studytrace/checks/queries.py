@@ -483,9 +483,7 @@ def model_scores(spark, sf_dir):
 def feature_store_training(spark, sf_dir):
     path = scratch_path(spark, "features")
     write_feature_store(event_features(spark, sf_dir), path)
-    return train_from_feature_store(
-        spark, path, drop_incomplete=True, model_types=MODEL_TYPES[2:]
-    )
+    return train_from_feature_store(spark, path, drop_incomplete=True)
 
 
 def linear_svm_score(spark, sf_dir):

@@ -53,10 +53,12 @@ def between(df: DataFrame, name: str, start, end) -> Column:
 
 
 def as_flag(df: DataFrame, name: str) -> Column:
-    """A boolean from booleans, numbers or text in any case; 'None' gives null."""
+    """A boolean from booleans, numbers or text in any case; 'None' and NaN give null."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
         return F.lower(F.trim(F.col(name))).try_cast("boolean")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(name), F.col(name).cast("boolean"))
     return F.col(name).cast("boolean")
 
 

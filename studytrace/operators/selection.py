@@ -36,7 +36,8 @@ def nth_row(
 ) -> Row:
     """The ``order`` columns of the n-th row (1-based) of the total order.
 
-    ``slots`` run from coarse to fine; none may decrease along the order.
+    ``slots`` run from coarse to fine; none may decrease along the order among
+    rows that are equal in the slots before it.
     ``total`` is the row count of ``df``.
     """
     rows, wanted, held = df.select(*order), n, total
@@ -71,8 +72,12 @@ def up_to(df: DataFrame, order: Sequence[str], last: Row) -> Column:
 def column_slots(df: DataFrame, name: str) -> list[Column]:
     """Coarse-to-fine slots of one ascending column, few per coarser slot."""
     dtype, column = df.schema[name].dataType, F.col(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        slots = [F.date_trunc(unit, name) for unit in ("day", "minute", "second")]
+    if isinstance(dtype, T.TimestampNTZType):
+        # Each slot need only ascend within the one before it; none knows a zone.
+        slots = [F.to_date(name), F.hour(name) * 60 + F.minute(name), F.second(name)]
+    elif isinstance(dtype, T.TimestampType):
+        seconds = F.unix_seconds(name)
+        slots = [F.floor(seconds / unit).cast("long") for unit in (86_400, 60, 1)]
     elif isinstance(dtype, T.LongType):
         slots = [F.shiftright(name, bits) for bits in (40, 20)]
     elif isinstance(dtype, T.IntegerType):

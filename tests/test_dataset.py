@@ -227,3 +227,19 @@ def test_one_concept_only(split_log):
     train = block.filter("is_train").collect()
     assert sorted(r["concept_level"] for r in train)[0] == 0.0
     assert sorted(r["concept_level"] for r in train)[-1] == 1.0
+
+
+def test_prefix_is_exact_where_clocks_change(spark, monkeypatch):
+    monkeypatch.setattr("studytrace.operators.selection.FINISH_ROWS", 5)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        minutes = spark.range(240).selectExpr(
+            "timestamp_ntz '2024-03-10 01:00:00' + make_dt_interval(0, 0, id) AS t", "id"
+        )
+        for n in (70, 100, 130, 155):
+            assert head_in_order(minutes, n, ["t", "id"]).count() == n
+        zoned = minutes.selectExpr("timestamp_seconds(1730610000 + id * 60) AS t", "id")
+        assert head_in_order(zoned, 100, ["t", "id"]).count() == 100
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

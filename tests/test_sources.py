@@ -282,3 +282,24 @@ def test_durable_cuts_lineage(raw_log, capsys):
     assert stored.count() == 3
     stored.explain()
     assert "FileScan parquet" in capsys.readouterr().out
+
+
+def test_quoted_text_and_missing_words(spark, tmp_path):
+    path = tmp_path / "content.csv"
+    path.write_text(
+        "ucid,content_pretty_name,content_kind\n"
+        'c1,"Say ""x, y"" now",Exercise\nc2,NaN,NA\nc3,"two\nlines",Exercise\n'
+    )
+    rows = read_csv_table(spark, str(path), "info_content", multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [
+        ("c1", 'Say "x, y" now', "Exercise"),
+        ("c2", None, None),
+        ("c3", "two\nlines", "Exercise"),
+    ]
+
+
+def test_missing_flags_do_not_count(spark):
+    from studytrace.functions.columns import as_flag
+
+    df = spark.createDataFrame([(float("nan"),), (0.0,), (1.0,), (None,)], "f double")
+    assert [r[0] for r in df.select(as_flag(df, "f")).collect()] == [None, False, True, None]
