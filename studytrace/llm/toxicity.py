@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from studytrace.llm.common import LABEL_BOUND, label_sample, table
 from studytrace.llm.wordhash import WORD, blocks, hashed, owners
+from studytrace.session import durable
 
 BUCKETS_LOG = 20
 BUCKETS = 2**BUCKETS_LOG
@@ -54,24 +55,64 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keyed % BUCKETS, keyed // BUCKETS
 
 
+def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """How many of the texts hold each bucket, and the number of texts."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, texts = np.zeros(BUCKETS, np.int64), 0
+        for rows in batches:
+            for block in blocks(rows["text"]):
+                held += np.bincount(features(block)[0], minlength=BUCKETS)
+                texts += len(block)
+        found = np.flatnonzero(held)
+        yield pd.DataFrame({"bucket": np.append(found, -1), "n": np.append(held[found], texts)})
+
+    counts = (
+        docs.select("text")
+        .mapInPandas(count, "bucket int, n long")
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()  # one row per bucket
+    )
+    inner = counts["bucket"] >= 0
+    out = np.zeros(BUCKETS, np.int64)
+    out[counts["bucket"][inner]] = counts["n"][inner]
+    return out, int(counts["n"][~inner].sum())
+
+
+def toxic_features(
+    positive: tuple[np.ndarray, int], unlabelled: tuple[np.ndarray, int]
+) -> np.ndarray:
+    """The buckets to learn from, by ``document_counts`` of both kinds of texts."""
+    (held, toxic), (common, texts) = positive, unlabelled
+    if not toxic or not texts:
+        return np.zeros(0, np.int64)
+    share = held / toxic
+    use = (share >= max(LEAST_SHARE, 3 / toxic)) & (
+        share >= LEAST_LIFT * (common / texts + 1 / texts)
+    )
+    return np.flatnonzero(use)
+
+
 def train_nnpu(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
+    positive: list[np.ndarray],
+    unlabelled: list[np.ndarray],
+    prior: float,
+    chosen: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Features, weights and bias that minimise the non-negative risk.
 
-    Each text is its array of buckets. With loss l, positive risk P(l) and
+    Each text is its array of buckets; the features are ``chosen``, or those of
+    ``toxic_features`` for these texts alone. With loss l, positive risk P(l) and
     unlabelled risk U(l), the risk is prior · P(l of toxic) + max(0, U(l of
     clean) - prior · P(l of clean)). While the second part is negative, the
     step goes up its slope instead.
     """
     held = [len(x) for x in positive], [len(x) for x in unlabelled]
     flat = np.concatenate(positive), np.concatenate(unlabelled)
-    seen = [np.bincount(f, minlength=BUCKETS) / len(h) for f, h in zip(flat, held, strict=True)]
-    floor = 1.0 / len(unlabelled)
-    use = (seen[0] >= max(LEAST_SHARE, 3 / len(positive))) & (
-        seen[0] >= LEAST_LIFT * (seen[1] + floor)
-    )
-    chosen = np.flatnonzero(use)
+    if chosen is None:
+        counts = [np.bincount(f, minlength=BUCKETS) for f in flat]
+        chosen = toxic_features(*((c, len(h)) for c, h in zip(counts, held, strict=True)))
     number = np.full(BUCKETS, -1)
     number[chosen] = np.arange(len(chosen))
 
@@ -114,8 +155,9 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
 
     Only rows that are not held out are used: the toxic ones among at most
     ``LABEL_BOUND`` labelled documents, and at most ``UNLABELLED_BOUND`` texts
-    as unlabelled. The prior is the toxic share of the labelled documents. None
-    if no toxic text is known.
+    as unlabelled. The prior is the toxic share of the labelled documents. Which
+    features are used is decided once for all classifiers. None if no toxic text
+    is known.
     """
     usable = docs.filter(~held_out()).select("doc_id", "text")
     known = label_sample(labels.filter(~held_out()), "toxic", LABEL_BOUND)
@@ -145,8 +187,12 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
             yield rows[["doc_id", "toxic", "unknown", "bag"]].assign(buckets=out)
 
     # A document repeated under one id is taken once.
-    sample = usable.join(F.broadcast(roles), "doc_id").dropDuplicates(["doc_id"])
-    extracted = sample.withColumn("bag", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(bags)).cast("int")).mapInPandas(
+    sample = durable(usable.join(F.broadcast(roles), "doc_id").dropDuplicates(["doc_id"]))
+    chosen = toxic_features(
+        document_counts(sample.filter("toxic")), document_counts(sample.filter("unknown"))
+    )
+    bag = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(bags)).cast("int")
+    extracted = sample.withColumn("bag", bag).mapInPandas(
         extract, "doc_id long, toxic boolean, unknown boolean, bag int, buckets array<int>"
     )
 
@@ -155,7 +201,7 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
         unknown = [np.asarray(x) for x in rows["buckets"][rows["unknown"]]]
         if not toxic or not unknown:
             return pd.DataFrame({"bucket": [], "weight": []})
-        chosen, weights, bias = train_nnpu(toxic, unknown, float(prior))
+        _, weights, bias = train_nnpu(toxic, unknown, float(prior), chosen)
         return pd.DataFrame(
             {"bucket": np.append(chosen, -1), "weight": np.append(weights, bias)}
         )

@@ -6,8 +6,10 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from studytrace.llm import toxicity
 from studytrace.llm.toxicity import (
     PREDICT_FROM,
+    features,
     fit_classifiers,
     held_out,
     op1_nnpu_toxicity,
@@ -45,6 +47,30 @@ def test_learns_from_positive_and_unlabelled_texts(spark, docs_of, awkward, awkw
     assert docs.limit(0).select(score_texts(F.col("text"), model)).collect() == []
 
 
+def test_rare_toxic_word_counts_over_all_classifiers(docs_of, spark, monkeypatch):
+    # Four toxic texts hold the word, one in the share of each of four classifiers.
+    monkeypatch.setattr(toxicity, "BAG_TOXIC", 10)
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 30)) for i in range(600)]
+    train = {
+        r["doc_id"]: r["bag"]
+        for r in spark.range(600)
+        .toDF("doc_id")
+        .filter(~held_out())
+        .selectExpr("doc_id", "pmod(xxhash64(doc_id, 2), 4) AS bag")
+        .collect()
+    }
+    known = sorted(train)[:80]
+    rare = {next(i for i in known if train[i] == bag) for bag in range(4)}
+    rows = [
+        (i, f"{text} {'quxxel' if i in rare else 'zottel' if i in known else ''}") for i, text in rows
+    ]
+    labels = [(i, 1, int(i in known)) for i in sorted(train)]
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    weights, _ = fit_classifiers(docs_of(rows), labelled)
+    assert weights[features(["quxxel"])[0]].max() > 0
+
+
 def test_nothing_known_scores_zero(awkward, empty, no_labels):
     assert fit_classifiers(awkward, no_labels) is None
     assert fit_classifiers(empty, no_labels) is None
@@ -64,3 +90,14 @@ def test_held_out_accuracy_on_test_tables(spark):
     truth = spark.read.parquet(f"{folder}/labels.parquet")
     rows = op1_nnpu_toxicity(spark, folder).join(truth, "doc_id").filter("held_out").collect()
     assert np.mean([r["predicted"] == r["toxic"] for r in rows]) > 0.95
+
+
+def test_held_out_toxic_rows_are_found_and_few_others(spark):
+    folder = "/root/testdata/sf0.1"
+    truth = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = op1_nnpu_toxicity(spark, folder).join(truth, "doc_id").filter("held_out").collect()
+    both = sum(r["predicted"] == 1 and r["toxic"] == 1 for r in rows)
+    recall = both / sum(r["toxic"] for r in rows)
+    precision = both / sum(r["predicted"] for r in rows)
+    print(f"held-out recall {recall:.3f}, precision {precision:.3f}")
+    assert recall > 0.8 and precision > 0.8
