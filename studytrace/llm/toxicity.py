@@ -26,7 +26,7 @@ PREFIXES = (4, 5, 6)
 #: At most so many classifiers, each trained in one task on its own share of the
 #: sample, which has about this many toxic texts at least.
 BAGS, BAG_TOXIC = 4, 200
-#: At most this many texts, in hash order, are used as unlabelled.
+#: At most this many texts, in hash order, are used as unlabelled in training.
 UNLABELLED_BOUND = 20_000
 #: A feature is used if it is this much commoner in toxic texts.
 LEAST_LIFT = 2.5
@@ -44,13 +44,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and owners of each text's distinct words and word beginnings."""
-    found = [sorted(set(WORD.findall(text.lower()))) for text in texts]
+    found = [list(set(WORD.findall(text.lower()))) for text in texts]
     counts = np.fromiter(map(len, found), np.int64, len(found))
-    words = [w for listed in found for w in listed]
     owner = owners(counts)
-    kinds = [hashed(words)]
-    kinds += [hashed([f"{w[:n]}-" for w in words]) for n in PREFIXES]
-    bucket = np.concatenate([k >> np.uint64(64 - BUCKETS_LOG) for k in kinds]).astype(np.int64)
+    # A word that many texts hold is hashed once.
+    code, distinct = pd.factorize(np.array([w for listed in found for w in listed], object))
+    kinds = [hashed(list(distinct))]
+    kinds += [hashed([f"{w[:n]}-" for w in distinct]) for n in PREFIXES]
+    bucket = np.concatenate([(k >> np.uint64(64 - BUCKETS_LOG))[code] for k in kinds]).astype(np.int64)
     keyed = np.unique(np.tile(owner, len(kinds)) * BUCKETS + bucket)
     return keyed % BUCKETS, keyed // BUCKETS
 
@@ -155,9 +156,10 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
 
     Only rows that are not held out are used: the toxic ones among at most
     ``LABEL_BOUND`` labelled documents, and at most ``UNLABELLED_BOUND`` texts
-    as unlabelled. The prior is the toxic share of the labelled documents. Which
-    features are used is decided once for all classifiers. None if no toxic text
-    is known.
+    as unlabelled in the steps of the training. The prior is the toxic share of
+    the labelled documents. Which features are used is decided once for all
+    classifiers, against how common they are in all texts not held out. None if
+    no toxic text is known.
     """
     usable = docs.filter(~held_out()).select("doc_id", "text")
     known = label_sample(labels.filter(~held_out()), "toxic", LABEL_BOUND)
@@ -188,9 +190,7 @@ def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, flo
 
     # A document repeated under one id is taken once.
     sample = durable(usable.join(F.broadcast(roles), "doc_id").dropDuplicates(["doc_id"]))
-    chosen = toxic_features(
-        document_counts(sample.filter("toxic")), document_counts(sample.filter("unknown"))
-    )
+    chosen = toxic_features(document_counts(sample.filter("toxic")), document_counts(usable))
     bag = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(bags)).cast("int")
     extracted = sample.withColumn("bag", bag).mapInPandas(
         extract, "doc_id long, toxic boolean, unknown boolean, bag int, buckets array<int>"

@@ -71,6 +71,26 @@ def test_rare_toxic_word_counts_over_all_classifiers(docs_of, spark, monkeypatch
     assert weights[features(["quxxel"])[0]].max() > 0
 
 
+def test_common_words_are_judged_by_all_texts(docs_of, spark, monkeypatch):
+    # Beyond the bound, the word is as common in texts of which nothing is known.
+    monkeypatch.setattr(toxicity, "UNLABELLED_BOUND", 20)
+    rng = random.Random(10)
+    order = spark.range(600).toDF("doc_id").filter(~held_out()).selectExpr("doc_id", "xxhash64(doc_id, 1) AS h")
+    ids = [r["doc_id"] for r in order.orderBy("h").collect()]
+    toxic = set(ids[-20:])
+    held = toxic | set(ids[20:-20])
+    rows = [
+        (i, f"{sentence(rng, 30)} {'quxxel' if i in held else ''} {'zottel' if i in toxic else ''}")
+        for i in ids
+    ]
+    labelled = spark.createDataFrame(
+        [(i, 1, int(i in toxic)) for i in ids], "doc_id long, quality int, toxic int"
+    )
+    weights, _ = fit_classifiers(docs_of(rows), labelled)
+    assert weights[features(["quxxel"])[0]].max() == 0
+    assert weights[features(["zottel"])[0]].max() > 0
+
+
 def test_nothing_known_scores_zero(awkward, empty, no_labels):
     assert fit_classifiers(awkward, no_labels) is None
     assert fit_classifiers(empty, no_labels) is None
