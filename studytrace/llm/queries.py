@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from studytrace.llm.credentials import OP4_SQL, op4_secret_ownership
-from studytrace.llm.fingerprints import OP10_SQL, op10_spot_signatures
+from studytrace.llm.fingerprints import OP10_SQL, op10_spot_classes, op10_spot_signatures
 from studytrace.llm.importance import op9_importance_resampling
 from studytrace.llm.mixing import OP2_SQL, op2_poisson_mix
 from studytrace.llm.order_minhash import op6_order_minhash
@@ -26,6 +26,7 @@ QUERIES = {
         op8_sentencepiece,
         op9_importance_resampling,
         op10_spot_signatures,
+        op10_spot_classes,
     )
 }
 SQL = {
