@@ -7,6 +7,7 @@ from studytrace.llm.fingerprints import OP10_SQL, op10_spot_classes, op10_spot_s
 from studytrace.llm.importance import op9_importance_resampling
 from studytrace.llm.mixing import OP2_SQL, op2_poisson_mix
 from studytrace.llm.order_minhash import op6_order_minhash
+from studytrace.llm.personal import op13_crf_personal
 from studytrace.llm.pieces import op8_sentencepiece
 from studytrace.llm.search import OP3_SQL, op3_pivot_distance
 from studytrace.llm.sharding import op5_histogram_sort
@@ -27,6 +28,7 @@ QUERIES = {
         op9_importance_resampling,
         op10_spot_signatures,
         op10_spot_classes,
+        op13_crf_personal,
     )
 }
 SQL = {
