@@ -504,6 +504,10 @@ def _listed(spans: Column) -> Column:
     return F.array_join(parts, ",")
 
 
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op13_crf_personal(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in all documents: base counts and digest, and all spans.
 
@@ -516,10 +520,7 @@ def op13_crf_personal(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("found", lambda s: s["base"])
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-            for kind in KINDS
-        ],
+        *[_count(base, kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
         _listed(F.col("found")).alias("spans"),
         (F.size("found") - F.size(base)).cast("long").alias("n_added"),
