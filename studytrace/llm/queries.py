@@ -13,6 +13,8 @@ from studytrace.llm.search import OP3_SQL, op3_pivot_distance
 from studytrace.llm.sharding import op5_histogram_sort
 from studytrace.llm.substrings import op7_suffix_dedup
 from studytrace.llm.toxicity import op1_nnpu_toxicity
+from studytrace.llm.trie import op12_conversation_trie
+from studytrace.llm.whitening import op11_mixed_precision_whitening
 
 QUERIES = {
     f.__name__: f
@@ -28,6 +30,8 @@ QUERIES = {
         op9_importance_resampling,
         op10_spot_signatures,
         op10_spot_classes,
+        op11_mixed_precision_whitening,
+        op12_conversation_trie,
         op13_crf_personal,
     )
 }
