@@ -13,7 +13,7 @@ from studytrace.llm.search import OP3_SQL, op3_pivot_distance
 from studytrace.llm.sharding import op5_histogram_sort
 from studytrace.llm.substrings import op7_suffix_dedup
 from studytrace.llm.toxicity import op1_nnpu_toxicity
-from studytrace.llm.trie import op12_conversation_trie
+from studytrace.llm.trie import OP12_SQL, op12_conversation_trie
 from studytrace.llm.whitening import op11_mixed_precision_whitening
 
 QUERIES = {
@@ -40,4 +40,5 @@ SQL = {
     "op3_pivot_distance": OP3_SQL,
     "op4_secret_ownership": OP4_SQL,
     "op10_spot_signatures": OP10_SQL,
+    "op12_conversation_trie": OP12_SQL,
 }

@@ -558,3 +558,44 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     Without any conversation there is no node.
     """
     return prefix_trie(*family_sequences(table(spark, folder, "conversations")))
+
+
+#: Fixed value: the reversed polynomial of the checksum that sets h.
+CRC32_POLYNOMIAL = 0xEDB88320
+_CRC32 = f"""xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1),
+      lambda i: ascii(CAST(conv_id AS VARCHAR)[i])::BIGINT)),
+    lambda sum, byte: list_reduce(list_prepend(xor(sum, byte), list_resize([]::BIGINT[], 8, 0)),
+      lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN {CRC32_POLYNOMIAL} ELSE 0 END))))"""
+
+OP12_SQL = f"""
+WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), sized AS (
+  SELECT conv_id, turns, {_CRC32} % {HEADS} AS h FROM own
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM sized a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % {FAMILY}
+), held AS (
+  SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+), nodes AS (
+  SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CASE WHEN len(turns) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends
+  FROM held GROUP BY 1, 2
+), above AS (
+  SELECT path[1:unnest(range(0, depth + 1))] AS top, depth, path, n_convs FROM nodes
+), children AS (
+  SELECT path[1:depth - 1] AS parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), summed AS (
+  SELECT top, count(*) FILTER (c.n IS NULL) AS n_leaves,
+    sum((n_convs - 1) * CASE WHEN depth > 0 THEN length(path[depth].text) ELSE 0 END)::BIGINT AS saved_tokens
+  FROM above a LEFT JOIN children c ON c.parent = a.path GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+  s.n_leaves, s.saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN summed s ON s.top = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+LEFT JOIN children c ON c.parent = n.path
+"""
