@@ -7,6 +7,7 @@ then placed in the normalised text and projected back to byte spans.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from array import array
@@ -100,10 +101,11 @@ class Encoder:
         """Normalised text, and the source byte of each of its bytes and of its end."""
         source = text.encode()
         if not source:
-            return "", np.zeros(1, np.int64)
+            return "", np.zeros(1, np.int32)
         if not self.characters.units:
             raw = np.frombuffer(source, np.uint8)
-            origin = np.repeat(np.arange(len(raw)), np.where(raw == 0x20, len(_SPACE_BYTES), 1))
+            places = np.arange(len(raw), dtype=np.int32)
+            origin = np.repeat(places, np.where(raw == 0x20, len(_SPACE_BYTES), 1))
             out = text.replace(" ", SPACE)
         else:
             parts, places, at = [], [], 0
@@ -115,13 +117,13 @@ class Encoder:
                     hit = n, source[at : at + n]
                 piece = hit[1].replace(b" ", _SPACE_BYTES)
                 parts.append(piece)
-                places.append(np.full(len(piece), at))
+                places.append(np.full(len(piece), at, np.int32))
                 at += hit[0]
             out, origin = b"".join(parts).decode(), np.concatenate(places)
         if self.prefix:
             out = SPACE + out
-            origin = np.concatenate([np.zeros(len(_SPACE_BYTES), np.int64), origin])
-        return out, np.append(origin, len(source))
+            origin = np.concatenate([np.zeros(len(_SPACE_BYTES), np.int32), origin])
+        return out, np.append(origin, np.int32(len(source)))
 
     def _learn(self, words: set[str]) -> None:
         """Remember the ids of the words not yet known, with one library call."""
@@ -189,25 +191,44 @@ def encoded(text: Column, model_path: str) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(model_path)
         for texts in batches:
-            rows = [r for block in _blocks(texts) for r in encoder.encode(block)]
-            yield pd.DataFrame(
-                {
-                    "ids": [r[0] for r in rows],
-                    "starts": [r[1].astype(np.int32) for r in rows],
-                    "decoded": [r[2] for r in rows],
-                }
-            )
+            # One frame per block, so that no more than a block's arrays are held.
+            for block in _blocks(texts):
+                yield pd.DataFrame(encoder.encode(block), columns=["ids", "starts", "decoded"])
 
     return encode(text)
 
 
-def _digest(numbers: str) -> Column:
-    joined = F.array_join(F.col(numbers).cast("array<string>"), ",")
-    return F.sha2(joined.cast("binary"), 256)
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def digested(text: Column, model_path: str) -> Column:
+    """Number of pieces, and digests of what ``encoded`` gives, taken in the worker.
+
+    Ids and starts are digested as decimal numbers joined by commas; the arrays
+    themselves never leave the worker.
+    """
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, starts_sha256 string")
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = _encoder(model_path)
+        names = ["n_tokens", "ids_sha256", "decoded_sha256", "starts_sha256"]
+        for texts in batches:
+            for block in _blocks(texts):
+                rows = []
+                for ids, starts, decoded in encoder.encode(block):
+                    listed = [_sha256(",".join(map(str, numbers.tolist()))) for numbers in (ids, starts)]
+                    rows.append((len(ids), listed[0], _sha256(decoded), listed[1]))
+                yield pd.DataFrame(rows, columns=names)
+
+    return digest(text)
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, ids, starts, decoded) of every row; other columns are not read."""
+    """(doc_id, ids, starts, decoded) of every row; other columns are not read.
+
+    Null and repeated ids are kept; a null text is an empty one.
+    """
     return docs.select("doc_id", encoded(F.col("text"), model_path).alias("e")).select("doc_id", "e.*")
 
 
@@ -219,11 +240,10 @@ def model_path(name: str = MODEL) -> str:
 
 
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    """Token counts and digests of ids, spans and decoded text of all documents."""
-    return encode_documents(table(spark, folder, "documents"), model_path()).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        _digest("ids").alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        _digest("starts").alias("starts_sha256"),
-    )
+    """Token counts and digests of ids, spans and decoded text of all documents.
+
+    One row per document row; null texts are empty texts, which have no tokens.
+    Null and repeated ids are kept as they are.
+    """
+    docs = table(spark, folder, "documents")
+    return docs.select("doc_id", digested(F.col("text"), model_path()).alias("e")).select("doc_id", "e.*")

@@ -82,3 +82,19 @@ def test_awkward_rows(awkward, awkward_rows, empty):
     assert len(rows) == len(awkward_rows)
     assert sorted(r["decoded"] for r in rows) == sorted(r[1] or "" for r in awkward_rows)
     assert encode_documents(empty, model_path()).select(F.size("ids")).collect() == []
+
+
+def test_query_digests_equal_the_library(spark, tmp_path, awkward, awkward_rows, encoder):
+    import hashlib
+
+    from studytrace.llm.pieces import op8_sentencepiece
+
+    awkward.write.parquet(f"{tmp_path}/documents.parquet")
+    got = op8_sentencepiece(spark, str(tmp_path)).collect()
+    want = []
+    for row in awkward_rows:
+        ids = encoder.library.encode(row[1] or "")
+        texts = (",".join(map(str, ids)), encoder.library.decode(ids) if ids else "")
+        want.append((row[0], len(ids), *[hashlib.sha256(t.encode()).hexdigest() for t in texts]))
+    names = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r[n] for n in names)) for r in got)
