@@ -23,14 +23,13 @@ BUCKETS = 2**BUCKETS_LOG
 #: Leading characters that are features besides the whole word: stems of
 #: inflected words.
 PREFIXES = (4, 5, 6)
-#: At most so many classifiers, each trained in one task on its own share of the
-#: sample, which has about this many toxic texts at least.
-BAGS, BAG_TOXIC = 4, 200
-#: At most this many texts, in hash order, are used as unlabelled in training.
-UNLABELLED_BOUND = 20_000
-#: A feature is used if it is this much commoner in toxic texts.
-LEAST_LIFT = 2.5
-LEAST_SHARE = 0.002
+#: Unlabelled texts of one classifier, about; there are as many classifiers as
+#: all unlabelled texts need, each trained in a task of its own.
+BAG_TEXTS = 20_000
+#: A feature is used if so many toxic texts hold it, at least this share of them,
+#: and it is this much commoner in toxic texts (2.0 was best in cross-validation
+#: on rows that are not held out).
+LEAST_HELD, LEAST_SHARE, LEAST_LIFT = 3, 0.002, 2.0
 STEPS, RATE, SHRINK = 400, 0.1, 1e-4
 PREDICT_FROM = 0.7
 FOLDS, HELD_OUT = 3, 1
@@ -56,8 +55,14 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keyed % BUCKETS, keyed // BUCKETS
 
 
-def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """How many of the texts hold each bucket, and the number of texts."""
+def document_counts(
+    docs: DataFrame, among: np.ndarray | None = None, least: int = 1
+) -> tuple[np.ndarray, int]:
+    """How many of the texts hold each bucket, and the number of texts.
+
+    Only buckets of ``among``, and only those held by ``least`` texts, leave the
+    cluster; other counts are zero.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, texts = np.zeros(BUCKETS, np.int64), 0
@@ -65,7 +70,7 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
             for block in blocks(rows["text"]):
                 held += np.bincount(features(block)[0], minlength=BUCKETS)
                 texts += len(block)
-        found = np.flatnonzero(held)
+        found = np.flatnonzero(held) if among is None else among[held[among] > 0]
         yield pd.DataFrame({"bucket": np.append(found, -1), "n": np.append(held[found], texts)})
 
     counts = (
@@ -73,6 +78,7 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
         .mapInPandas(count, "bucket int, n long")
         .groupBy("bucket")
         .agg(F.sum("n").alias("n"))
+        .filter((F.col("n") >= least) | (F.col("bucket") < 0))
         .toPandas()  # one row per bucket
     )
     inner = counts["bucket"] >= 0
@@ -89,40 +95,29 @@ def toxic_features(
     if not toxic or not texts:
         return np.zeros(0, np.int64)
     share = held / toxic
-    use = (share >= max(LEAST_SHARE, 3 / toxic)) & (
+    use = (share >= max(LEAST_SHARE, LEAST_HELD / toxic)) & (
         share >= LEAST_LIFT * (common / texts + 1 / texts)
     )
     return np.flatnonzero(use)
 
 
 def train_nnpu(
-    positive: list[np.ndarray],
-    unlabelled: list[np.ndarray],
-    prior: float,
-    chosen: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray, float]:
-    """Features, weights and bias that minimise the non-negative risk.
-
-    Each text is its array of buckets; the features are ``chosen``, or those of
-    ``toxic_features`` for these texts alone. With loss l, positive risk P(l) and
-    unlabelled risk U(l), the risk is prior · P(l of toxic) + max(0, U(l of
-    clean) - prior · P(l of clean)). While the second part is negative, the
-    step goes up its slope instead.
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int
+) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the non-negative risk.
+
+    Each text is the array of the features, below ``size``, that it holds. With
+    loss l, positive risk P(l) and unlabelled risk U(l), the risk is prior · P(l
+    of toxic) + max(0, U(l of clean) - prior · P(l of clean)). While the second
+    part is negative, the step goes up its slope instead.
     """
-    held = [len(x) for x in positive], [len(x) for x in unlabelled]
-    flat = np.concatenate(positive), np.concatenate(unlabelled)
-    if chosen is None:
-        counts = [np.bincount(f, minlength=BUCKETS) for f in flat]
-        chosen = toxic_features(*((c, len(h)) for c, h in zip(counts, held, strict=True)))
-    number = np.full(BUCKETS, -1)
-    number[chosen] = np.arange(len(chosen))
-
-    def sparse(f: np.ndarray, h: list[int]) -> tuple[np.ndarray, np.ndarray, int]:
-        column, row = number[f], np.repeat(np.arange(len(h)), h)
-        return column[column >= 0], row[column >= 0], len(h)
-
-    parts = [sparse(f, h) for f, h in zip(flat, held, strict=True)]
-    w, b = np.zeros(len(chosen) + 1), 0.0
+
+    def sparse(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+        row = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+        return np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64), row, len(texts)
+
+    parts = [sparse(positive), sparse(unlabelled)]
+    w = np.zeros(size + 1)
     first, second = np.zeros_like(w), np.zeros_like(w)
 
     def margin(part: tuple) -> np.ndarray:
@@ -131,7 +126,7 @@ def train_nnpu(
 
     def slope(part: tuple, per_text: np.ndarray) -> np.ndarray:
         column, row, n = part
-        inner = np.bincount(column, per_text[row], minlength=len(chosen)) / n
+        inner = np.bincount(column, per_text[row], minlength=size) / n
         return np.append(inner, per_text.mean())
 
     for step in range(1, STEPS + 1):
@@ -147,72 +142,88 @@ def train_nnpu(
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
         w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    b = float(w[-1])
-    return chosen, w[:-1], b
+    return w[:-1], float(w[-1])
 
 
-def fit_classifiers(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
-    """Mean weights (one per bucket) and bias of up to ``BAGS`` classifiers.
+def _numbered(chosen: np.ndarray) -> np.ndarray:
+    """The place of each bucket among ``chosen``, -1 for others."""
+    number = np.full(BUCKETS, -1, np.int32)
+    number[chosen] = np.arange(len(chosen), dtype=np.int32)
+    return number
 
-    Only rows that are not held out are used: the toxic ones among at most
-    ``LABEL_BOUND`` labelled documents, and at most ``UNLABELLED_BOUND`` texts
-    as unlabelled in the steps of the training. The prior is the toxic share of
-    the labelled documents. Which features are used is decided once for all
-    classifiers, against how common they are in all texts not held out. None if
-    no toxic text is known.
+
+def chosen_features(docs: DataFrame, chosen: np.ndarray) -> DataFrame:
+    """(doc_id, held): which of the chosen buckets each text holds, by their places.
+
+    A document repeated under one id is taken once.
     """
-    usable = docs.filter(~held_out()).select("doc_id", "text")
-    known = label_sample(labels.filter(~held_out()), "toxic", LABEL_BOUND)
-    toxic = known.agg(F.avg("toxic").alias("share"), F.sum("toxic").alias("n")).first()
-    prior = toxic["share"]
-    if not prior:
-        return None
-    bags = min(BAGS, max(1, toxic["n"] // BAG_TOXIC))
-    unlabelled = (
-        usable.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(UNLABELLED_BOUND)
-    ).distinct()
-    roles = (
-        known.filter("toxic = 1")
-        .select("doc_id", F.lit(True).alias("toxic"), F.lit(False).alias("unknown"))
-        .unionByName(unlabelled.select("doc_id", F.lit(False).alias("toxic"), F.lit(True).alias("unknown")))
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"), F.max("unknown").alias("unknown"))
-    )
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = _numbered(chosen)
         for rows in batches:
             out = []
             for block in blocks(rows["text"]):
                 bucket, owner = features(block)
-                ends = np.searchsorted(owner, np.arange(1, len(block)))
-                out += np.split(bucket.astype(np.int32), ends)
-            yield rows[["doc_id", "toxic", "unknown", "bag"]].assign(buckets=out)
+                place = number[bucket]
+                place, owner = place[place >= 0], owner[place >= 0]
+                order = np.argsort(owner, kind="stable")
+                ends = np.searchsorted(owner[order], np.arange(1, len(block)))
+                out += np.split(place[order], ends)
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "held": out})
+
+    found = docs.select("doc_id", "text").mapInPandas(extract, "doc_id long, held array<int>")
+    return found.dropDuplicates(["doc_id"])
 
-    # A document repeated under one id is taken once.
-    sample = durable(usable.join(F.broadcast(roles), "doc_id").dropDuplicates(["doc_id"]))
-    chosen = toxic_features(document_counts(sample.filter("toxic")), document_counts(usable))
+
+def fit_classifiers(
+    docs: DataFrame, labels: DataFrame, bag_texts: int = BAG_TEXTS
+) -> tuple[np.ndarray, float] | None:
+    """Mean weights (one per bucket) and bias of the classifiers.
+
+    Only rows that are not held out are used: the toxic ones among at most
+    ``LABEL_BOUND`` labelled documents, which every classifier sees, and all
+    other texts as unlabelled, dealt out to the classifiers. The prior is the
+    toxic share of the labelled documents. Which features are used is decided
+    once for all classifiers, against how common they are in all texts not held
+    out. None if no toxic text is known.
+    """
+    usable = docs.filter(~held_out()).select("doc_id", "text")
+    known = label_sample(labels.filter(~held_out()), "toxic", LABEL_BOUND)
+    prior = known.agg(F.avg("toxic")).first()[0]
+    if not prior:
+        return None
+    # At most LABEL_BOUND ids, so this side may be broadcast.
+    toxic = F.broadcast(known.filter("toxic = 1").select("doc_id"))
+    confirmed = durable(usable.join(toxic, "doc_id").dropDuplicates(["doc_id"]))
+    positive = document_counts(confirmed, least=LEAST_HELD)
+    candidates = np.flatnonzero(positive[0])
+    unlabelled = document_counts(usable, among=candidates)
+    chosen = toxic_features(positive, unlabelled)
+    # The confirmed texts are bounded; their few features go to every task.
+    known_held = [np.asarray(r["held"], np.int32) for r in chosen_features(confirmed, chosen).collect()]
+    if not known_held or not unlabelled[1]:
+        return None
+    bags = max(1, round(unlabelled[1] / bag_texts))
     bag = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(bags)).cast("int")
-    extracted = sample.withColumn("bag", bag).mapInPandas(
-        extract, "doc_id long, toxic boolean, unknown boolean, bag int, buckets array<int>"
-    )
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
-        toxic = [np.asarray(x) for x in rows["buckets"][rows["toxic"]]]
-        unknown = [np.asarray(x) for x in rows["buckets"][rows["unknown"]]]
-        if not toxic or not unknown:
-            return pd.DataFrame({"bucket": [], "weight": []})
-        _, weights, bias = train_nnpu(toxic, unknown, float(prior), chosen)
-        return pd.DataFrame(
-            {"bucket": np.append(chosen, -1), "weight": np.append(weights, bias)}
-        )
-
-    fitted = extracted.groupBy("bag").applyInPandas(train, "bucket int, weight double").toPandas()
-    bias = fitted["weight"][fitted["bucket"] == -1]
-    if not len(bias):
-        return None
-    inner = fitted[fitted["bucket"] >= 0]
-    total = np.bincount(inner["bucket"], inner["weight"], minlength=BUCKETS)
-    return (total / len(bias)).astype(np.float32), float(bias.mean())
+        unknown = [np.asarray(x, np.int32) for x in rows["held"]]
+        weights, bias = train_nnpu(known_held, unknown, float(prior), len(chosen))
+        return pd.DataFrame({"place": np.append(np.arange(len(chosen)), -1), "weight": np.append(weights, bias)})
+
+    fitted = (
+        chosen_features(usable, chosen)
+        .withColumn("bag", bag)
+        .groupBy("bag")
+        .applyInPandas(train, "place int, weight double")
+        .groupBy("place")
+        .agg(F.avg("weight").alias("weight"))
+        .toPandas()  # one row per chosen feature
+    )
+    inner = fitted[fitted["place"] >= 0]
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[chosen[inner["place"]]] = inner["weight"]
+    return weights, float(fitted["weight"][fitted["place"] < 0].iloc[0])
 
 
 def score_texts(text: Column, model: tuple[np.ndarray, float] | None) -> Column:
