@@ -346,6 +346,18 @@ def _accuracy_query(keys: str, name: str, items: str = ACCURACY_ITEMS) -> str:
     )
 
 
+REPEATED = """repeated AS (
+  SELECT date_trunc('day', "timestamp_TW")::TIMESTAMP AS "timestamp_TW",
+    CAST(CAST(uuid AS BIGINT) % 2 AS VARCHAR) AS uuid, 'p' AS upid, level, problem_number
+  FROM log
+)"""
+# Rows that share a key follow one another by their other columns.
+TIES = "level, problem_number"
+TRAIN_TEST = """SELECT row_id, row_number() OVER (ORDER BY md5('760:' || CAST(row_id AS VARCHAR)),
+    row_id) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS is_train FROM log"""
+PREFIX = f"""SELECT row_id, "timestamp_TW", uuid, upid FROM log ORDER BY {ORDER}
+    LIMIT (SELECT CAST(round_even(count(*) / 100.0, 0) AS BIGINT) FROM log)"""
+
 ORACLE = {
     "log_time_slice": with_(LOG)
     + 'SELECT row_id, "timestamp_TW", uuid, ucid, upid, is_correct FROM log'
@@ -410,12 +422,18 @@ ORACLE = {
     UNION ALL SELECT DISTINCT 'user', uuid FROM users)""",
     "log_positions": with_(LOG)
     + f"SELECT row_id, row_number() OVER (ORDER BY {ORDER}) - 1 AS position FROM log",
-    "train_test_split": with_(LOG)
-    + """SELECT row_id, row_number() OVER (ORDER BY md5('760:' || CAST(row_id AS VARCHAR)),
-    row_id) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS is_train FROM log""",
-    "sample_prefix": with_(LOG)
-    + f"""SELECT row_id, "timestamp_TW", uuid, upid FROM log ORDER BY {ORDER}
-    LIMIT (SELECT CAST(round_even(count(*) / 100.0, 0) AS BIGINT) FROM log)""",
+    "train_test_split": with_(LOG) + TRAIN_TEST,
+    "train_test_split_in_slots": with_(LOG) + TRAIN_TEST,
+    "train_test_split_repeated_keys": with_(LOG, REPEATED)
+    + f"""SELECT *, row_number() OVER (ORDER BY md5('760:'
+      || strftime("timestamp_TW", '%Y-%m-%d %H:%M:%S') || ':' || uuid || ':' || upid),
+      "timestamp_TW", uuid, upid, {TIES}) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE))
+      AS is_train FROM repeated""",
+    "sample_prefix": with_(LOG) + PREFIX,
+    "sample_prefix_in_slots": with_(LOG) + PREFIX,
+    "sample_prefix_repeated_keys": with_(LOG, REPEATED)
+    + f"""SELECT * FROM repeated ORDER BY "timestamp_TW", uuid, upid, {TIES}
+    LIMIT (SELECT CAST(round_even(count(*) * 0.3, 0) AS BIGINT) FROM repeated)""",
     "minmax_scaled_scalars": with_(*SPLIT, scaled_scalars()) + "SELECT * FROM scalars",
     "minmax_scaled_scalars_train_fit": with_(
         *SPLIT, scaled_scalars("", "FILTER (WHERE is_train)")

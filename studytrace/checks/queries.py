@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,8 @@ from studytrace.operators.joins import (
 )
 from studytrace.operators.ordered import ordinals, positions
 from studytrace.operators.scaling import entry_bounds, scale_entries, scale_scalars
-from studytrace.operators.selection import head_percent
+from studytrace.operators import selection
+from studytrace.operators.selection import head_percent, train_test_split
 from studytrace.operators.validation import prepare_users, validate, with_enum_domains
 from studytrace.plans.features import (
     FeatureStage,
@@ -278,6 +280,47 @@ def sample_prefix(spark, sf_dir):
     return head_percent(log, 1.0).select("row_id", "timestamp_TW", "uuid", "upid")
 
 
+@contextmanager
+def small_slots():
+    """Search rounds that go on to the last key, as they do on very large logs."""
+    kept = selection.FINISH_ROWS
+    selection.FINISH_ROWS = 1
+    try:
+        yield
+    finally:
+        selection.FINISH_ROWS = kept
+
+
+def sample_prefix_in_slots(spark, sf_dir):
+    with small_slots():
+        return sample_prefix(spark, sf_dir)
+
+
+def train_test_rows_in_slots(spark, sf_dir):
+    with small_slots():
+        return train_test_rows(spark, sf_dir)
+
+
+def repeated_key_log(spark, sf_dir):
+    """A log where some two hundred rows share a time, a user and a problem."""
+    day = F.date_trunc("day", "timestamp_TW").cast("timestamp_ntz")
+    return event_log(spark, sf_dir).select(
+        day.alias("timestamp_TW"),
+        (F.col("uuid").cast("bigint") % 2).cast("string").alias("uuid"),
+        F.lit("p").alias("upid"),
+        "level",
+        "problem_number",
+    )
+
+
+def sample_prefix_repeated_keys(spark, sf_dir):
+    return head_percent(repeated_key_log(spark, sf_dir), 30.0)
+
+
+def train_test_rows_repeated_keys(spark, sf_dir):
+    return train_test_split(repeated_key_log(spark, sf_dir))
+
+
 def complete_split(spark, sf_dir):
     """Complete feature rows with their split, and the matrix widths."""
     stage = event_features(spark, sf_dir)
@@ -534,7 +577,11 @@ QUERIES = {
     "dimension_ordinals": dimension_ordinals,
     "log_positions": log_positions,
     "train_test_split": train_test_rows,
+    "train_test_split_in_slots": train_test_rows_in_slots,
+    "train_test_split_repeated_keys": train_test_rows_repeated_keys,
     "sample_prefix": sample_prefix,
+    "sample_prefix_in_slots": sample_prefix_in_slots,
+    "sample_prefix_repeated_keys": sample_prefix_repeated_keys,
     "minmax_scaled_scalars": minmax_scaled_scalars,
     "minmax_scaled_scalars_train_fit": minmax_scaled_scalars_train_fit,
     "minmax_scaled_concept_entries": minmax_scaled_concept_entries,

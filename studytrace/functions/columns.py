@@ -40,12 +40,49 @@ def row_key(df: DataFrame) -> list[str]:
 
 
 def literal(value, dtype: T.DataType) -> Column:
-    """``value`` as a literal of ``dtype``, free of any time-zone conversion."""
-    if isinstance(dtype, T.TimestampNTZType) and value is not None:
+    """``value`` as a literal of ``dtype``, free of any time-zone conversion.
+
+    Takes values collected by ``portable`` as well.
+    """
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType):
         return F.lit(str(value)).cast(dtype)
+    if isinstance(dtype, T.TimestampType) and isinstance(value, int):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(dtype, T.StructType):
+        parts = zip(value, dtype, strict=True)
+        return F.struct(*[literal(v, f.dataType).alias(f.name) for v, f in parts])
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[literal(v, dtype.elementType) for v in value]).cast(dtype)
     return F.lit(value).cast(dtype)
 
 
+def portable(column: Column, dtype: T.DataType) -> Column:
+    """A form of ``column`` that comes back unchanged through ``literal``.
+
+    A time with zone would pass through the driver's local clock, which knows
+    some hours twice; it is collected in microseconds instead.
+    """
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(dtype, T.StructType):
+        fields = F.struct(*[portable(column[f.name], f.dataType).alias(f.name) for f in dtype])
+        return F.when(column.isNotNull(), fields)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(column, lambda item: portable(item, dtype.elementType))
+    return column
+
+
+def is_orderable(dtype: T.DataType) -> bool:
+    """True for types whose values can be compared and written as literals."""
+    if isinstance(dtype, T.StructType):
+        return all(is_orderable(f.dataType) for f in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return is_orderable(dtype.elementType)
+    return isinstance(dtype, (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DatetimeType))
+
+
 def between(df: DataFrame, name: str, start, end) -> Column:
     """Half-open range predicate ``start <= name < end``."""
     dtype = df.schema[name].dataType

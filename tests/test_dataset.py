@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.ml.linalg import SparseVector
@@ -23,10 +24,9 @@ from studytrace.operators.scaling import (
     scale_scalars,
 )
 from studytrace.operators.selection import (
+    find_cut,
     head_in_order,
     head_percent,
-    log_slots,
-    nth_row,
     train_test_split,
 )
 from studytrace.plans.training import scaled_vectors, split_rows
@@ -129,11 +129,67 @@ def test_nth_row_with_null_times(spark):
         "row_id bigint, timestamp_TW timestamp_ntz",
     )
     order = ["timestamp_TW", "row_id"]
-    places = [nth_row(log, order, log_slots(log, order), n, 6)["row_id"] for n in range(1, 7)]
+    places = [find_cut(log, order, n, 6).key[1] for n in range(1, 7)]
     assert places == [0, 2, 4, 1, 3, 5]
     assert {r["row_id"] for r in head_in_order(log, 4, order).collect()} == {0, 1, 2, 4}
 
 
+@pytest.mark.parametrize("finish", [3, 200_000])
+def test_repeated_keys_give_exact_counts(spark, monkeypatch, finish):
+    """Twenty copies a key: ties go by the other columns, equal rows by number."""
+    monkeypatch.setattr(selection, "FINISH_ROWS", finish)
+    monkeypatch.setattr(selection, "PROBES", 4)
+    rows = [(i // 20, (i * 7) % 5, {"a": i}) for i in range(100)]
+    log = spark.createDataFrame(rows, "row_id bigint, other int, extra map<string,int>").repartition(6)
+    for n in (1, 33, 60):
+        got = sorted((r["row_id"], r["other"]) for r in head_in_order(log, n).collect())
+        assert got == sorted((a, b) for a, b, _ in rows)[:n]
+    split = train_test_split(log)
+    assert split.filter("is_train").count() == 80 and split.count() == 100
+    assert {r["row_id"] for r in split.collect()} == {0, 1, 2, 3, 4}
+    same = spark.range(50).select(F.lit(1).alias("row_id")).repartition(5)
+    assert head_in_order(same, 13).count() == 13
+    assert train_test_split(same).filter("is_train").count() == 40
+
+
+ORDERS = {
+    "double": ("double", lambda i: [None, float("nan"), -0.0, 0.0, float("-inf"), i / 7][min(i, 5)]),
+    "decimal(20,3)": ("decimal(20,3)", lambda i: None if i == 3 else Decimal(i * 37 % 100) / 8),
+    "long prefix": ("string", lambda i: None if i == 5 else "x" * 60 + str(i * 37 % 100)),
+    "struct": ("struct<a:int,b:timestamp>", lambda i: (i % 3 or None, datetime(2024, 3, 10, i % 24))),
+    "date": ("date", lambda i: None if i == 9 else datetime(2024, 1, 1 + i % 28).date()),
+    "binary": ("binary", lambda i: bytes([i * 37 % 100])),
+    "array": ("array<int>", lambda i: [i % 4, i * 37 % 100]),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(ORDERS))
+def test_prefix_of_any_order_type(spark, monkeypatch, kind):
+    monkeypatch.setattr(selection, "FINISH_ROWS", 2)
+    monkeypatch.setattr(selection, "PROBES", 9)
+    dtype, value = ORDERS[kind]
+    log = spark.createDataFrame([(value(i), i) for i in range(60)], f"key {dtype}, id int")
+    sorted_ids = [r["id"] for r in log.orderBy(F.col("key").asc_nulls_last(), "id").collect()]
+    for n in (1, 33):
+        assert {r["id"] for r in head_in_order(log, n, ["key", "id"]).collect()} == set(sorted_ids[:n])
+
+
+def test_rounds_read_a_range_of_the_leading_column(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    spark.createDataFrame(
+        [(start + timedelta(hours=i), i) for i in range(50)], "timestamp_TW timestamp_ntz, row_id int"
+    ).write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    order = ["timestamp_TW", "row_id"]
+    low, high = (start, 0), (start + timedelta(hours=9), 9)
+    pushed = []
+    for df in (selection._between(log, log, order, low, high), head_in_order(log, 20)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed.append(plan[plan.index("PushedFilters") :].split("\n")[0])
+    assert all("LessThanOrEqual(timestamp_TW" in text for text in pushed)
+    assert "GreaterThanOrEqual(time" in pushed[0]
+
+
 def test_percent_rounds_half_to_even(spark):
     log = spark.range(250).withColumnRenamed("id", "row_id")
     assert head_percent(log).count() == 2
