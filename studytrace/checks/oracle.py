@@ -213,6 +213,28 @@ GROUP_PART = (
     " AS feature_idx, level4_proficiency AS value FROM groups"
 )
 
+# Levels that fall below zero: where zero is not a column's minimum, rows without an
+# entry hold the scaled zero.
+FALLEN = (
+    *FEATURES[:-1],
+    FEATURES[-1].replace("features AS (", "risen AS (", 1),
+    """features AS (
+  SELECT * REPLACE (level - CASE WHEN concept_idx % 3 = 0 THEN 2 ELSE 0 END AS level,
+    level4_proficiency - 3 AS level4_proficiency) FROM risen
+)""",
+    *SPLIT[len(FEATURES) :],
+)
+
+
+def shifted_entries(index: str, value: str, name: str, offset: str) -> str:
+    """Rows of all columns whose zero does not scale to zero, but the own one."""
+    return f"""SELECT split.row_id, CAST({offset} + b.{index} AS INTEGER) AS feature_idx,
+    CAST(-b.low AS DOUBLE) / (b.high - b.low) AS value
+  FROM split JOIN {name}_bounds b ON split.is_train = b.is_train
+    AND split.{index} IS DISTINCT FROM b.{index}
+  WHERE b.low < 0 AND b.high > b.low"""
+
+
 BENCHMARK = (
     LOG,
     USERS,
@@ -269,27 +291,28 @@ CORRELATIONS = " UNION ALL ".join(
     for b in EXPLORE_COLUMNS
 )
 
-CLEAN_COLUMNS = (
-    "uuid",
-    "row_id",
-    "timestamp_TW",
-    "ucid",
-    "upid",
-    "problem_number",
-    "exercise_problem_repeat_session",
-    "is_correct",
-    "total_attempt_cnt",
-    "used_hint_cnt",
-    "level",
-    "user_grade",
-    "female",
-    "male",
-    "unspecified",
-)
+# Columns of the cleaned log and their types.
+CLEAN_COLUMNS = {
+    "uuid": "string",
+    "row_id": "bigint",
+    "timestamp_TW": "timestamp_ntz",
+    "ucid": "string",
+    "upid": "string",
+    "problem_number": "smallint",
+    "exercise_problem_repeat_session": "smallint",
+    "is_correct": "boolean",
+    "total_attempt_cnt": "smallint",
+    "used_hint_cnt": "smallint",
+    "level": "tinyint",
+    "user_grade": "int",
+    "female": "int",
+    "male": "int",
+    "unspecified": "int",
+}
 PROFILE = " UNION ALL ".join(
-    f"SELECT {i} AS position, '{name}' AS column_name, count(\"{name}\") AS"
-    " non_null_count, count(*) AS row_count FROM clean"
-    for i, name in enumerate(CLEAN_COLUMNS)
+    f"SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS data_type,"
+    f" count(\"{name}\") AS non_null_count, count(*) AS row_count FROM clean"
+    for i, (name, kind) in enumerate(CLEAN_COLUMNS.items())
 )
 
 
@@ -322,6 +345,26 @@ FAILED = """concat_ws(',',
     CASE WHEN TRY_CAST(total_sec_taken AS INTEGER) IS NULL THEN 'total_sec_taken' END,
     CASE WHEN TRY_CAST(level AS TINYINT) IS NULL THEN 'level' END)"""
 
+# The raw files of the seed job, before they are written.
+RAW_USERS = """raw_users AS (
+  SELECT * REPLACE ('the "city",' || chr(10) || user_city AS user_city,
+    CASE WHEN points % 13 <> 0 THEN points END AS points,
+    CASE WHEN badges_cnt <> 7 THEN CAST("first_login_date_TW" AS DATE) END
+      AS "first_login_date_TW")
+  FROM users
+)"""
+RAW_LOG = """raw_log AS (
+  SELECT * REPLACE (CAST(row_id AS VARCHAR) AS upid,
+    CASE WHEN row_id % 37 <> 0 THEN ucid END AS ucid) FROM text_log
+)"""
+SEEDED_LOG = """"timestamp_TW", uuid, ucid, upid,
+    CAST(problem_number AS SMALLINT) AS problem_number, exercise_problem_repeat_session,
+    is_correct, CAST(total_sec_taken AS INTEGER) AS total_sec_taken, total_attempt_cnt,
+    used_hint_cnt, is_hint_used,
+    CASE is_downgrade WHEN 'True' THEN true WHEN '1' THEN true WHEN 'false' THEN false END
+      AS is_downgrade,
+    is_upgrade, CAST(level AS TINYINT) AS level"""
+
 ORDER_LOG = """order_log AS (
   SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate AS "timestamp_TW",
     o_custkey AS uuid, l_partkey AS ucid, l_partkey * 10 + l_linenumber AS upid,
@@ -442,6 +485,16 @@ ORACLE = {
     "minmax_scaled_concept_entries": with_(*SPLIT, CONCEPTS) + "SELECT * FROM concepts",
     "assembled_features": with_(*SPLIT, scaled_scalars(), CONCEPTS, GROUPS)
     + vector_rows(*SCALAR_PARTS, CONCEPT_PART, GROUP_PART),
+    "assembled_features_negative_levels": with_(*FALLEN, scaled_scalars(), CONCEPTS, GROUPS)
+    + vector_rows(
+        *SCALAR_PARTS,
+        CONCEPT_PART,
+        GROUP_PART,
+        shifted_entries("concept_idx", "concept_level", "concepts", "8"),
+        shifted_entries(
+            "level4_idx", "level4_proficiency", "groups", "8 + (SELECT count(*) FROM content)"
+        ),
+    ),
     "assembled_features_without_level4": with_(*SPLIT, scaled_scalars(), CONCEPTS)
     + vector_rows(*SCALAR_PARTS, CONCEPT_PART),
     "level4_one_hot_entries": with_(*FEATURES)
@@ -495,6 +548,27 @@ ORACLE = {
       AS is_downgrade,
     is_upgrade, CAST(level AS TINYINT) AS level
     FROM text_log WHERE {FAILED} = ''""",
+    "seeded_log": with_(LOG, TEXT, RAW_LOG)
+    + f"SELECT {SEEDED_LOG} FROM raw_log WHERE {FAILED} = ''",
+    "seeded_users": with_(USERS, RAW_USERS)
+    + """SELECT * FROM raw_users WHERE points IS NOT NULL
+    AND "first_login_date_TW" IS NOT NULL""",
+    "seed_rejects": with_(LOG, TEXT, RAW_LOG, USERS, RAW_USERS, CONTENT)
+    + f"""SELECT 'log_problem' AS table_name, upid AS row_key, {FAILED} AS failed_columns
+    FROM raw_log WHERE {FAILED} <> ''
+    UNION ALL SELECT 'user_profile', uuid, concat_ws(',',
+      CASE WHEN points IS NULL THEN 'points' END,
+      CASE WHEN "first_login_date_TW" IS NULL THEN 'first_login_date_TW' END)
+    FROM raw_users WHERE points IS NULL OR "first_login_date_TW" IS NULL
+    UNION ALL SELECT 'info_content', ucid, 'difficulty' FROM content WHERE ucid = '3'""",
+    "csv_missing_words": with_(USERS, RAW_USERS)
+    + 'SELECT uuid, points, user_city, "first_login_date_TW" FROM raw_users',
+    "log_preview": with_(LOG)
+    + f"""SELECT row_id, "timestamp_TW", uuid, ucid, upid, level FROM log
+    ORDER BY {ORDER} LIMIT 5""",
+    "orphan_concepts": with_(LOG)
+    + "SELECT ucid, count(*) AS row_count FROM log WHERE CAST(ucid AS INTEGER) % 5 = 0"
+    + " GROUP BY ucid",
     "first_login_date": with_(USERS)
     + 'SELECT uuid, CAST("first_login_date_TW" AS DATE) AS "first_login_date_TW" FROM users',
     "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem"

@@ -31,6 +31,7 @@ from studytrace.operators.explore import (
     column_profile,
     correlation_matrix,
     distinct_values,
+    preview,
     with_category_codes,
     with_fixed_codes,
 )
@@ -61,6 +62,7 @@ from studytrace.plans.features import (
 )
 from studytrace.plans.jobs import (
     preprocess_summary,
+    seed_warehouse,
     train_from_feature_store,
     train_on_slice,
 )
@@ -91,12 +93,15 @@ from studytrace.schemas import (
     BENCHMARK_COLUMNS,
     DOMAINS,
     EXPLORE_COLUMNS,
+    FOREIGN_KEYS,
     PRIMARY_KEYS,
     SCALAR_FEATURES,
 )
 from studytrace.session import durable, scratch_path
 from studytrace.sources.files import (
+    PERMISSIVE,
     publish,
+    read_csv_table,
     read_feature_store,
     read_parquet,
     read_prefix,
@@ -362,6 +367,19 @@ def assembled_features_without_level4(spark, sf_dir):
     return vector_entries(assembled, ["row_id"], "features")
 
 
+def assembled_features_negative_levels(spark, sf_dir):
+    """As ``assembled_features``, from levels that fall below zero in some concepts."""
+    stage = event_features(spark, sf_dir)
+    fallen = F.col("level") - F.when(F.col("concept_idx") % 3 == 0, F.lit(2)).otherwise(F.lit(0))
+    log = stage.log.withColumns(
+        {"level": fallen.cast("int"), "level4_proficiency": F.col("level4_proficiency") - 3}
+    )
+    rows = durable(training_rows(FeatureStage(log, stage.dimensions), drop_incomplete=True))
+    dims = stage.dimensions
+    vectors = scaled_vectors(split_rows(rows), dims.concepts, dims.level4_groups)
+    return vector_entries(feature_assembler().transform(vectors), ["row_id"], "features")
+
+
 def level4_one_hot_entries(spark, sf_dir):
     stage = event_features(spark, sf_dir)
     hot = one_hot(stage.log, "level4_idx", stage.dimensions.level4_groups, LEVEL4_BLOCK)
@@ -412,6 +430,11 @@ def exploratory_frame(spark, sf_dir):
     return explore_rows(tables.log, tables.user, tables.content)
 
 
+def log_preview(spark, sf_dir):
+    log = event_log(spark, sf_dir)
+    return preview(log).select("row_id", "timestamp_TW", "uuid", "ucid", "upid", "level")
+
+
 def correlations(spark, sf_dir):
     tables = preprocessed(spark, sf_dir)
     rows = explore_rows(tables.log, tables.user, tables.content)
@@ -421,7 +444,7 @@ def correlations(spark, sf_dir):
 
 
 def column_profiles(spark, sf_dir):
-    return column_profile(clean_log(spark, sf_dir)).drop("data_type")
+    return column_profile(clean_log(spark, sf_dir))
 
 
 def domain_values(spark, sf_dir):
@@ -466,6 +489,14 @@ def orphan_users(spark, sf_dir):
     return orphan_keys(event_log(spark, sf_dir), event_user(spark, sf_dir), "uuid")
 
 
+def orphan_concepts(spark, sf_dir):
+    """The declared foreign key, against a content table that lacks some concepts."""
+    (table_name, column), (other, target) = next(iter(FOREIGN_KEYS.items()))
+    tables = {"log_problem": event_log(spark, sf_dir), "info_content": event_content(spark, sf_dir)}
+    held = tables[other].filter(F.col(target).cast("int") % 5 != 0)
+    return orphan_keys(tables[table_name], held, column)
+
+
 def stage_summary(spark, sf_dir):
     return preprocess_summary(event_tables(spark, sf_dir), *SLICE)
 
@@ -490,6 +521,71 @@ def csv_roundtrip(spark, sf_dir):
     ).log
 
 
+def raw_csv_files(spark, sf_dir) -> Layout:
+    """CSV files with bad values, words for missing ones, quotes and broken lines."""
+    layout = Layout(scratch_path(spark, "raw"))
+    log = event_text_log(spark, sf_dir)
+    log = log.withColumn("ucid", F.when(F.col("row_id") % 37 == 0, "NA").otherwise(F.col("ucid")))
+    # The problem id keeps the row number, to name rejected rows by.
+    log = log.withColumn("upid", F.col("row_id").cast("string")).drop("row_id")
+    user = event_user(spark, sf_dir)
+    user = user.select(*[F.col(name).cast("string") for name in user.columns]).withColumns(
+        {
+            "user_city": F.concat(F.lit('the "city",\n'), F.col("user_city")),
+            "points": F.when(F.col("points").cast("int") % 13 == 0, "#N/A").otherwise(F.col("points")),
+            "first_login_date_TW": F.when(
+                F.col("badges_cnt").cast("int") == 7, "soon"
+            ).otherwise(F.col("first_login_date_TW")),
+        }
+    )
+    content = event_content(spark, sf_dir)
+    content = content.withColumn(
+        "difficulty", F.when(F.col("ucid") == "3", "extreme").otherwise(F.col("difficulty"))
+    )
+    for df, path in ((log, layout.log_file), (user, layout.user_file), (content, layout.content_file)):
+        df.write.csv(path, header=True, quote='"', escape='"')
+    return layout
+
+
+def seed_rejects(spark, sf_dir):
+    """What the seed job rejects of every table, with the columns that failed."""
+    root = scratch_path(spark, "seeded")
+    done = seed_warehouse(
+        spark, raw_csv_files(spark, sf_dir), lambda df, name: publish(df, root, name)
+    )
+    keys = {"info_content": "ucid", "user_profile": "uuid", "log_problem": "upid"}
+    parts = [
+        done[name].rejected.select(
+            F.lit(name).alias("table_name"),
+            F.col(key).alias("row_key"),
+            F.array_join("failed_columns", ",").alias("failed_columns"),
+        )
+        for name, key in keys.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _seeded(spark, sf_dir, name) -> DataFrame:
+    root = scratch_path(spark, "seeded")
+    seed_warehouse(spark, raw_csv_files(spark, sf_dir), lambda df, table: publish(df, root, table))
+    return read_parquet(spark, f"{root}/{name}")
+
+
+def seeded_log(spark, sf_dir):
+    return _seeded(spark, sf_dir, "log_problem")
+
+
+def seeded_users(spark, sf_dir):
+    return _seeded(spark, sf_dir, "user_profile")
+
+
+def csv_missing_words(spark, sf_dir):
+    """Typed reading: words for a missing value give null in number and text columns."""
+    layout = raw_csv_files(spark, sf_dir)
+    users = read_csv_table(spark, layout.user_file, "user_profile", PERMISSIVE)
+    return users.select("uuid", "points", "user_city", "first_login_date_TW")
+
+
 def parquet_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "published")
     publish(event_user(spark, sf_dir), root, "user_profile")
@@ -586,6 +682,7 @@ QUERIES = {
     "minmax_scaled_scalars_train_fit": minmax_scaled_scalars_train_fit,
     "minmax_scaled_concept_entries": minmax_scaled_concept_entries,
     "assembled_features": assembled_features,
+    "assembled_features_negative_levels": assembled_features_negative_levels,
     "assembled_features_without_level4": assembled_features_without_level4,
     "level4_one_hot_entries": level4_one_hot_entries,
     "level4_interaction_entries": level4_interaction_entries,
@@ -594,6 +691,7 @@ QUERIES = {
     "user_category_codes": user_category_codes,
     "ordinal_recode": ordinal_recode,
     "exploratory_frame": exploratory_frame,
+    "log_preview": log_preview,
     "correlation_matrix": correlations,
     "column_profile": column_profiles,
     "distinct_values": domain_values,
@@ -604,8 +702,13 @@ QUERIES = {
     "duplicate_keys": duplicate_line_keys,
     "duplicate_primary_keys": duplicate_primary_keys,
     "orphan_keys": orphan_users,
+    "orphan_concepts": orphan_concepts,
     "stage_summary": stage_summary,
     "csv_roundtrip": csv_roundtrip,
+    "csv_missing_words": csv_missing_words,
+    "seed_rejects": seed_rejects,
+    "seeded_log": seeded_log,
+    "seeded_users": seeded_users,
     "parquet_roundtrip": parquet_roundtrip,
     "prefix_roundtrip": prefix_roundtrip,
     "feature_store_roundtrip": feature_store_roundtrip,

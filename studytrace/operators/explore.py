@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from studytrace.functions.columns import recode
 from studytrace.operators.ordered import bounded_broadcast, ordinals
+from studytrace.operators.selection import head_in_order
 from studytrace.schemas import (
     DIFFICULTY_CODES,
     GENDER_CODES,
     LEARNING_STAGE_CODES,
 )
+from studytrace.session import durable
 
 RECODED = {
     "gender": GENDER_CODES,
@@ -47,32 +49,33 @@ def with_category_codes(df: DataFrame, domains: Mapping[str, DataFrame]) -> Data
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of all column pairs, long form, from two passes.
+    """Pearson correlation of all column pairs, long form.
 
-    The first pass takes the means, the second sums centred products, which
-    stays accurate for any number of rows. Rows with a null in ``columns`` are
-    left out. Undefined correlations, those of a constant column, are null.
+    The columns are written once as numbers, so that whatever made ``df`` runs
+    once. A first pass over them takes the means, a second sums centred
+    products: keeping running co-moments in one pass loses digits where means
+    are large. Rows with a null in ``columns`` are left out. Undefined
+    correlations, those of a constant column, are null.
     """
-    numbers = df.select(*[F.col(name).cast("double") for name in columns]).dropna()
+    numbers = durable(df.select(*[F.col(name).cast("double") for name in columns]).dropna())
     means = numbers.agg(
         *[F.avg(name) for name in columns],
         *[F.min(name) < F.max(name) for name in columns],
     ).first()
     mean = dict(zip(columns, means))
-    varies = {name for name, flag in zip(columns, means[len(columns) :]) if flag}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    varies = [name for name, flag in zip(columns, means[len(columns) :]) if flag]
+    pairs = [(a, b) for i, a in enumerate(varies) for b in varies[i:]]
     # As text: hundreds of expressions are far quicker to parse than to build.
     products = numbers.agg(
         *[
             F.expr(f"sum((`{a}` - {mean[a]!r}D) * (`{b}` - {mean[b]!r}D)) AS `{a}|{b}`")
             for a, b in pairs
-            if {a, b} <= varies
         ]
         or [F.lit(None)]
     )
 
     def correlation(a: str, b: str) -> str:
-        if not {a, b} <= varies:
+        if not {a, b} <= set(varies):
             return "CAST(NULL AS DOUBLE)"
         joint = f"`{a}|{b}`" if (a, b) in pairs else f"`{b}|{a}`"
         return f"{joint} / (sqrt(`{a}|{a}`) * sqrt(`{b}|{b}`))"
@@ -85,6 +88,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return products.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """The first few rows in log order."""
+    return head_in_order(df, rows)
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: position, name, type, non-null rows, all rows."""
     counted = df.agg(

@@ -38,9 +38,9 @@ def with_enum_domains(
 
 
 def prepare_users(user: DataFrame) -> DataFrame:
-    """NaN to null everywhere, first login text to date."""
+    """NaN to null everywhere, first login text to date, null where it is none."""
     return nan_to_null(user).withColumn(
-        "first_login_date_TW", F.to_date("first_login_date_TW")
+        "first_login_date_TW", F.col("first_login_date_TW").try_cast("date")
     )
 
 

@@ -16,6 +16,7 @@ from studytrace.session import durable, scratch_path, shared_dir
 from studytrace.sources.files import (
     CORRUPT,
     PERMISSIVE,
+    has_broken_lines,
     publish,
     read_csv_table,
     read_feature_store,
@@ -298,6 +299,25 @@ def test_quoted_text_and_missing_words(spark, tmp_path):
     ]
 
 
+def test_missing_words_and_broken_lines_by_default(spark, tmp_path):
+    path = tmp_path / "user.csv"
+    path.write_text('uuid,points,user_city\nu1,NA,"a\nb"\nu2,7,"c, ""d"""\nu3,nan,null\n')
+    rows = read_csv_table(spark, str(path), "user_profile").orderBy("uuid").collect()
+    assert [tuple(r) for r in rows] == [("u1", None, "a\nb"), ("u2", 7, 'c, "d"'), ("u3", None, None)]
+    plain = write(tmp_path / "plain.csv", "uuid,points", "u1,1")
+    assert has_broken_lines(spark, str(path)) and not has_broken_lines(spark, plain)
+
+
+def test_feature_files_grow_with_rows_and_features_run_once(
+    spark, raw_log, three_users, two_content, tmp_path
+):
+    stage = build_features(Tables(raw_log, three_users, two_content))
+    write_feature_store(stage, str(tmp_path / "a"), file_rows=1)
+    write_feature_store(stage, str(tmp_path / "b"), file_rows=100)
+    files = [len(read_feature_store(spark, str(tmp_path / n)).log.inputFiles()) for n in "ab"]
+    assert files[0] > files[1] == 1
+
+
 def test_missing_flags_do_not_count(spark):
     from studytrace.functions.columns import as_flag
 
