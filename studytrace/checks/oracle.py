@@ -401,6 +401,9 @@ TRAIN_TEST = """SELECT row_id, row_number() OVER (ORDER BY md5('760:' || CAST(ro
 PREFIX = f"""SELECT row_id, "timestamp_TW", uuid, upid FROM log ORDER BY {ORDER}
     LIMIT (SELECT CAST(round_even(count(*) / 100.0, 0) AS BIGINT) FROM log)"""
 
+LATER = """SELECT row_id, concept_idx, level, level4_proficiency, v_uuid_upid_acc,
+    v_upid_acc FROM features WHERE "timestamp_TW" >= TIMESTAMP '2024-01-22'"""
+
 ORACLE = {
     "log_time_slice": with_(LOG)
     + 'SELECT row_id, "timestamp_TW", uuid, ucid, upid, is_correct FROM log'
@@ -588,5 +591,7 @@ ORACLE = {
     "csv_roundtrip": with_(LOG) + "SELECT * EXCLUDE (row_id) FROM log",
     "parquet_roundtrip": with_(USERS) + "SELECT * FROM users",
     "prefix_roundtrip": with_(LOG) + "SELECT row_id, uuid, upid, is_correct FROM log",
+    "later_slice_features": with_(*FEATURES) + LATER,
+    "advanced_history_features": with_(*FEATURES) + LATER,
     "feature_store_roundtrip": with_(*FEATURES) + "SELECT * FROM features",
 }

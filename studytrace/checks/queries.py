@@ -73,15 +73,22 @@ from studytrace.plans.preprocess import (
     with_gender_flags,
     with_level_before_attempt,
 )
-from studytrace.plans.tables import Tables
+from studytrace.plans.scoring import (
+    advanced,
+    features_after,
+    history_of,
+    read_history,
+    score_later_activity,
+    train_for_scoring,
+    write_history,
+)
+from studytrace.plans.tables import Tables, log_slice
 from studytrace.plans.training import (
     LINEAR_SVM,
     MODEL_TYPES,
     benchmark_rows,
     explore_rows,
     labelled_vectors,
-    load_model,
-    score_activity,
     scaled_vectors,
     split_rows,
     train_all,
@@ -630,11 +637,51 @@ def linear_svm_score(spark, sf_dir):
     return train_all(vectors, [LINEAR_SVM])
 
 
+def split_by_time(spark, sf_dir) -> tuple[Tables, Tables]:
+    """The tables up to the end of the slice, and those of the rows after it."""
+    tables = event_tables(spark, sf_dir)
+    return log_slice(tables, ALL_TIME[0], SLICE[1]), log_slice(tables, SLICE[1], ALL_TIME[1])
+
+
+HISTORY_COLUMNS = (
+    "row_id",
+    "concept_idx",
+    "level",
+    "level4_proficiency",
+    "v_uuid_upid_acc",
+    "v_upid_acc",
+)
+
+
+def later_slice_features(spark, sf_dir):
+    """Features of the later rows from the stored totals of the earlier ones."""
+    earlier, later = split_by_time(spark, sf_dir)
+    stage = build_features(earlier, strict=False)
+    root = scratch_path(spark, "history")
+    write_history(history_of(stage.log), root)
+    done = features_after(later, stage.dimensions, read_history(spark, root), strict=False)
+    return done.log.select(*HISTORY_COLUMNS)
+
+
+def advanced_history_features(spark, sf_dir):
+    """The same, where the totals were brought forward by a slice in between."""
+    tables = event_tables(spark, sf_dir)
+    first, second = (log_slice(tables, a, b) for a, b in ((ALL_TIME[0], SLICE[0]), SLICE))
+    later = log_slice(tables, SLICE[1], ALL_TIME[1])
+    stage = build_features(first, strict=False)
+    between_log = with_content_index(preprocess_log(second.log, second.user), stage.dimensions)
+    root = scratch_path(spark, "history")
+    write_history(advanced(history_of(stage.log), between_log), root)
+    done = features_after(later, stage.dimensions, read_history(spark, root), strict=False)
+    return done.log.select(*HISTORY_COLUMNS)
+
+
 def scored_activity(spark, sf_dir):
+    """Later rows, scored from their raw log by all models of the earlier rows."""
     root = scratch_path(spark, "models")
-    vectors = labelled_vectors(event_features(spark, sf_dir), drop_incomplete=True)
-    train_all(vectors, MODEL_TYPES[2:3], model_root=root)
-    return score_activity(load_model(root, MODEL_TYPES[2]), vectors)
+    earlier, later = split_by_time(spark, sf_dir)
+    train_for_scoring(earlier, root, strict=False)
+    return score_later_activity(later, root, strict=False)
 
 
 def _benchmark(spark, sf_dir, train) -> DataFrame:
@@ -715,6 +762,8 @@ QUERIES = {
     "model_scores": model_scores,
     "feature_store_training": feature_store_training,
     "linear_svm_score": linear_svm_score,
+    "later_slice_features": later_slice_features,
+    "advanced_history_features": advanced_history_features,
     "scored_activity": scored_activity,
     "benchmark_score": benchmark_score,
     "benchmark_score_fixed_codes": benchmark_score_fixed_codes,

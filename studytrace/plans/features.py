@@ -128,8 +128,27 @@ def by_user(log: DataFrame, groups: LogGroups) -> DataFrame:
     return log.repartition("uuid") if groups.users_fit else log
 
 
+@dataclass(frozen=True)
+class History:
+    """What features need to know of rows earlier than a log."""
+
+    problems: DataFrame  # upid, correct, attempts
+    user_problems: DataFrame  # uuid, upid, correct, attempts
+    user_concepts: DataFrame  # uuid, ucid, level4_id, level: the latest one
+    overall: DataFrame  # one row: correct, labelled, last_time
+
+    def user_level4(self) -> DataFrame:
+        """(uuid, level4_id, total): the latest levels summed over a group's concepts."""
+        known = self.user_concepts.filter(F.col("level4_id").isNotNull())
+        return known.groupBy("uuid", "level4_id").agg(F.sum("level").alias("total"))
+
+
 def history_features(
-    log: DataFrame, fallback: Column, groups: LogGroups, block_rows: int = BLOCK_ROWS
+    log: DataFrame,
+    fallback: Column,
+    groups: LogGroups,
+    block_rows: int = BLOCK_ROWS,
+    before: History | None = None,
 ) -> DataFrame:
     """Add level4 proficiency and both running accuracies.
 
@@ -140,6 +159,8 @@ def history_features(
         block_rows=block_rows,
         large_concepts=groups.user_concept,
         large_level4=groups.user_level4,
+        levels_before=before.user_concepts if before else None,
+        totals_before=before.user_level4() if before else None,
     )
     rows = prior_accuracy(
         rows,
@@ -148,9 +169,16 @@ def history_features(
         fallback,
         block_rows,
         groups.user_problem,
+        before.user_problems if before else None,
     )
     return prior_accuracy(
-        rows, ["upid"], "v_upid_acc", fallback, block_rows, groups.problem
+        rows,
+        ["upid"],
+        "v_upid_acc",
+        fallback,
+        block_rows,
+        groups.problem,
+        before.problems if before else None,
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -31,6 +32,7 @@ from studytrace.operators.scaling import (
     FIT_EACH,
     entry_bounds,
     implicit_values,
+    scalar_bounds,
     scale_entries,
     scale_scalars,
 )
@@ -53,10 +55,13 @@ SCORE_SCHEMA = "model_type string, train_score double, test_score double"
 _ENTRIES = ("concept_idx", "concept_level", "level4_idx", "level4_proficiency")
 
 
-def training_rows(stage: FeatureStage, drop_incomplete: bool = False) -> DataFrame:
+def training_rows(
+    stage: FeatureStage, drop_incomplete: bool = False, labelled: bool = True
+) -> DataFrame:
     """Row key, scalar features, matrix entries and label of every log row.
 
-    With ``drop_incomplete``, rows lacking a label or a scalar feature go.
+    With ``drop_incomplete``, rows lacking a scalar feature go, and with
+    ``labelled`` those lacking a label.
     """
     log = stage.log.withColumn("concept_level", F.col("level"))
     names = [*SCALAR_FEATURES, "is_correct"]
@@ -65,7 +70,8 @@ def training_rows(stage: FeatureStage, drop_incomplete: bool = False) -> DataFra
         [*row_key(log), *[c for c in ("timestamp_TW", "uuid", "upid") if c in log.columns]]
     )
     rows = log.select(*keep, *names, *_ENTRIES)
-    return rows.dropna(subset=names) if drop_incomplete else rows
+    needed = names if labelled else list(SCALAR_FEATURES)
+    return rows.dropna(subset=needed) if drop_incomplete else rows
 
 
 def split_rows(
@@ -76,23 +82,46 @@ def split_rows(
     return train_test_split(chosen, seed=seed)
 
 
+@dataclass(frozen=True)
+class Scaling:
+    """Fitted bounds: of scalar features, and of the matrices' columns."""
+
+    scalars: DataFrame
+    entries: DataFrame
+
+
+_MATRICES = {"concept_idx": "concept_level", "level4_idx": "level4_proficiency"}
+
+
+def fit_scaling(split: DataFrame, fit_on: str = FIT_EACH) -> Scaling:
+    """Bounds of every feature per split, written out."""
+    return Scaling(
+        durable(scalar_bounds(split, SCALAR_FEATURES, fit_on)),
+        durable(entry_bounds(split, _MATRICES, fit_on)),
+    )
+
+
 def scaled_vectors(
     split: DataFrame,
     concepts: int,
     level4_groups: int,
     fit_on: str = FIT_EACH,
     include_level4: bool = True,
+    scaling: Scaling | None = None,
 ) -> DataFrame:
-    """Min-max scaled rows with their concept and level4 blocks."""
-    scaled = scale_scalars(split, SCALAR_FEATURES, fit_on)
-    blocks = [("concept_idx", "concept_level", concepts, CONCEPT_BLOCK)]
+    """Min-max scaled rows with their concept and level4 blocks.
+
+    ``scaling`` holds bounds fitted before; by default the rows' own are taken.
+    """
+    scaling = scaling or fit_scaling(split, fit_on)
+    scaled = scale_scalars(split, SCALAR_FEATURES, bounds=scaling.scalars)
+    widths = {"concept_idx": (concepts, CONCEPT_BLOCK)}
     if include_level4:
-        blocks.append(("level4_idx", "level4_proficiency", level4_groups, LEVEL4_BLOCK))
-    entries = {index: value for index, value, _, _ in blocks}
-    bounds = durable(entry_bounds(split, entries, fit_on))
-    implicit = implicit_values(bounds)
-    for index, value, width, name in blocks:
-        scaled = scale_entries(scaled, bounds, index, value, width)
+        widths["level4_idx"] = (level4_groups, LEVEL4_BLOCK)
+    implicit = implicit_values(scaling.entries)
+    for index, (width, name) in widths.items():
+        value = _MATRICES[index]
+        scaled = scale_entries(scaled, scaling.entries, index, value, width)
         shifts = [cell[1:] for cell in implicit if cell[0] == index]
         if shifts:
             scaled = shifted_block(scaled, index, value, width, name, shifts)
@@ -108,18 +137,25 @@ def labelled_vectors(
     seed: int = SPLIT_SEED,
     fit_on: str = FIT_EACH,
     include_level4: bool = True,
+    keep_scaling: Callable[[Scaling], None] | None = None,
 ) -> DataFrame:
     """The data set of a training run: key, blocks, scalars, label, is_train.
 
     Features are computed once; splitting and scaling read the durable copy.
+    ``keep_scaling`` gets the fitted bounds, for instance to store them.
     """
     rows = durable(training_rows(stage, drop_incomplete))
+    split = split_rows(rows, num_samples, seed)
+    scaling = fit_scaling(split, fit_on)
+    if keep_scaling:
+        keep_scaling(scaling)
     vectors = scaled_vectors(
-        split_rows(rows, num_samples, seed),
+        split,
         stage.dimensions.concepts,
         stage.dimensions.level4_groups,
         fit_on,
         include_level4,
+        scaling,
     )
     return vectors.withColumn("label", F.col("is_correct").cast("double"))
 
