@@ -8,6 +8,7 @@ for the share of toxic text among it, and kept from going below zero.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -51,7 +52,10 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     kinds = [hashed(list(distinct))]
     kinds += [hashed([f"{w[:n]}-" for w in distinct]) for n in PREFIXES]
     bucket = np.concatenate([(k >> np.uint64(64 - BUCKETS_LOG))[code] for k in kinds]).astype(np.int64)
-    keyed = np.unique(np.tile(owner, len(kinds)) * BUCKETS + bucket)
+    keyed = np.tile(owner, len(kinds)) * BUCKETS + bucket
+    # Much faster than np.unique, which hashes.
+    keyed.sort()
+    keyed = keyed[np.append(True, keyed[1:] != keyed[:-1])] if len(keyed) else keyed
     return keyed % BUCKETS, keyed // BUCKETS
 
 
@@ -153,10 +157,7 @@ def _numbered(chosen: np.ndarray) -> np.ndarray:
 
 
 def chosen_features(docs: DataFrame, chosen: np.ndarray) -> DataFrame:
-    """(doc_id, held): which of the chosen buckets each text holds, by their places.
-
-    A document repeated under one id is taken once.
-    """
+    """(doc_id, held) per row: which of the chosen buckets each text holds, by their places."""
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = _numbered(chosen)
@@ -169,51 +170,67 @@ def chosen_features(docs: DataFrame, chosen: np.ndarray) -> DataFrame:
                 order = np.argsort(owner, kind="stable")
                 ends = np.searchsorted(owner[order], np.arange(1, len(block)))
                 out += np.split(place[order], ends)
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "held": out})
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "held": out}).astype({"doc_id": "Int64"})
 
-    found = docs.select("doc_id", "text").mapInPandas(extract, "doc_id long, held array<int>")
-    return found.dropDuplicates(["doc_id"])
+    return docs.select("doc_id", "text").mapInPandas(extract, "doc_id long, held array<int>")
 
 
-def fit_classifiers(
-    docs: DataFrame, labels: DataFrame, bag_texts: int = BAG_TEXTS
-) -> tuple[np.ndarray, float] | None:
-    """Mean weights (one per bucket) and bias of the classifiers.
-
-    Only rows that are not held out are used: the toxic ones among at most
-    ``LABEL_BOUND`` labelled documents, which every classifier sees, and all
-    other texts as unlabelled, dealt out to the classifiers. The prior is the
-    toxic share of the labelled documents. Which features are used is decided
-    once for all classifiers, against how common they are in all texts not held
-    out. None if no toxic text is known.
+@dataclass(frozen=True)
+class Basis:
+    """What the classifiers learn from: features, confirmed toxic texts, and prior."""
+
+    chosen: np.ndarray
+    confirmed: list[np.ndarray]
+    prior: float
+
+
+def choose_features(docs: DataFrame, labels: DataFrame) -> Basis | None:
+    """Decide once for all classifiers which features are used; None without toxic texts.
+
+    Only rows that are not held out are read. Toxic texts are those among at
+    most ``LABEL_BOUND`` labelled documents, and the prior is their share there;
+    how common a feature is elsewhere is counted over all texts.
     """
     usable = docs.filter(~held_out()).select("doc_id", "text")
     known = label_sample(labels.filter(~held_out()), "toxic", LABEL_BOUND)
     prior = known.agg(F.avg("toxic")).first()[0]
     if not prior:
         return None
-    # At most LABEL_BOUND ids, so this side may be broadcast.
+    # At most LABEL_BOUND ids, so this side may be broadcast. A document
+    # repeated under one id is taken once.
     toxic = F.broadcast(known.filter("toxic = 1").select("doc_id"))
     confirmed = durable(usable.join(toxic, "doc_id").dropDuplicates(["doc_id"]))
     positive = document_counts(confirmed, least=LEAST_HELD)
-    candidates = np.flatnonzero(positive[0])
-    unlabelled = document_counts(usable, among=candidates)
+    if not positive[1]:
+        return None
+    unlabelled = document_counts(usable, among=np.flatnonzero(positive[0]))
     chosen = toxic_features(positive, unlabelled)
     # The confirmed texts are bounded; their few features go to every task.
-    known_held = [np.asarray(r["held"], np.int32) for r in chosen_features(confirmed, chosen).collect()]
-    if not known_held or not unlabelled[1]:
-        return None
-    bags = max(1, round(unlabelled[1] / bag_texts))
+    held = [np.asarray(r["held"], np.int32) for r in chosen_features(confirmed, chosen).collect()]
+    return Basis(chosen, held, float(prior))
+
+
+def train_classifiers(
+    extracted: DataFrame, basis: Basis, bag_texts: int = BAG_TEXTS
+) -> tuple[np.ndarray, float]:
+    """Mean weights (one per chosen feature) and bias of the classifiers.
+
+    ``extracted`` are rows of ``chosen_features`` that are not held out; every
+    one is an unlabelled text of one classifier, and each classifier sees all
+    confirmed texts. A document repeated under one id is taken once.
+    """
+    size = len(basis.chosen)
+    texts = extracted.dropDuplicates(["doc_id"])
+    bags = max(1, round(texts.count() / bag_texts))
     bag = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(bags)).cast("int")
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
         unknown = [np.asarray(x, np.int32) for x in rows["held"]]
-        weights, bias = train_nnpu(known_held, unknown, float(prior), len(chosen))
-        return pd.DataFrame({"place": np.append(np.arange(len(chosen)), -1), "weight": np.append(weights, bias)})
+        weights, bias = train_nnpu(basis.confirmed, unknown, basis.prior, size)
+        return pd.DataFrame({"place": np.append(np.arange(size), -1), "weight": np.append(weights, bias)})
 
     fitted = (
-        chosen_features(usable, chosen)
-        .withColumn("bag", bag)
+        texts.withColumn("bag", bag)
         .groupBy("bag")
         .applyInPandas(train, "place int, weight double")
         .groupBy("place")
@@ -221,11 +238,41 @@ def fit_classifiers(
         .toPandas()  # one row per chosen feature
     )
     inner = fitted[fitted["place"] >= 0]
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[chosen[inner["place"]]] = inner["weight"]
+    weights = np.zeros(size, np.float32)
+    weights[inner["place"]] = inner["weight"]
     return weights, float(fitted["weight"][fitted["place"] < 0].iloc[0])
 
 
+def fit_classifiers(
+    docs: DataFrame, labels: DataFrame, bag_texts: int = BAG_TEXTS
+) -> tuple[np.ndarray, float] | None:
+    """Weights (one per bucket) and bias for ``score_texts``; None if no toxic text is known."""
+    basis = choose_features(docs, labels)
+    if basis is None:
+        return None
+    extracted = durable(chosen_features(docs.filter(~held_out()), basis.chosen))
+    weights, bias = train_classifiers(extracted, basis, bag_texts)
+    dense = np.zeros(BUCKETS, np.float32)
+    dense[basis.chosen] = weights
+    return dense, bias
+
+
+def score_held(held: Column, weights: np.ndarray, bias: float) -> Column:
+    """The probability that a text is toxic, from its chosen features."""
+
+    @F.pandas_udf("double")
+    def score(listed: pd.Series) -> pd.Series:
+        owner = np.repeat(np.arange(len(listed)), [len(x) for x in listed])
+        place = np.concatenate([*listed, np.zeros(0, np.int32)]).astype(np.int64)
+        return pd.Series(_probability(np.bincount(owner, weights[place], minlength=len(listed)) + bias))
+
+    return score(held)
+
+
+def _probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
+
+
 def score_texts(text: Column, model: tuple[np.ndarray, float] | None) -> Column:
     """The probability that a text is toxic; zero if nothing was learned.
 
@@ -246,16 +293,30 @@ def score_texts(text: Column, model: tuple[np.ndarray, float] | None) -> Column:
             for block in blocks(texts):
                 bucket, owner = features(block)
                 margin = np.bincount(owner, dense[bucket], minlength=len(block)) + bias
-                out.append(1 / (1 + np.exp(-np.clip(margin, -50, 50))))
+                out.append(_probability(margin))
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return score(text)
 
 
 def op1_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    """Toxicity score of all documents."""
+    """Toxicity score of all documents.
+
+    One row per document row; null texts are empty, null ids are held out. The
+    chosen features of all texts are taken in one pass, which both training and
+    scoring read. If no toxic text is known, every score is zero.
+    """
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    score = score_texts(F.col("text"), fit_classifiers(docs, labels))
-    return docs.select("doc_id", held_out().alias("held_out"), score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= PREDICT_FROM).cast("int")
+    basis = choose_features(docs, labels)
+    if basis is None:
+        scored = docs.select("doc_id", F.lit(0.0).alias("score"))
+    else:
+        extracted = durable(chosen_features(docs, basis.chosen))
+        weights, bias = train_classifiers(extracted.filter(~held_out()), basis)
+        scored = extracted.select("doc_id", score_held(F.col("held"), weights, bias).alias("score"))
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"),
     )

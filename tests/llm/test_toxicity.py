@@ -151,3 +151,29 @@ def test_held_out_toxic_rows_are_found_and_few_others(spark):
     precision = both / sum(r["predicted"] for r in rows)
     print(f"held-out recall {recall:.3f}, precision {precision:.3f}")
     assert recall > 0.8 and precision > 0.8
+
+
+def test_query_on_awkward_rows_and_without_labels(spark, tmp_path, awkward, awkward_rows, empty, no_labels, docs_of):
+    labels = spark.createDataFrame([(i, 1, int(i in (3, 4))) for i in range(1, 8)], "doc_id long, quality int, toxic int")
+    for name, docs, known in (("a", awkward, labels), ("b", awkward, no_labels), ("c", empty, labels)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        known.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        got = op1_nnpu_toxicity(spark, f"{tmp_path}/{name}").collect()
+        want = [] if name == "c" else sorted(map(repr, (r[0] for r in awkward_rows)))
+        assert sorted(repr(r["doc_id"]) for r in got) == want
+        assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= PREDICT_FROM) for r in got)
+
+
+def test_scores_from_features_equal_scores_from_texts(spark, docs_of):
+    rng = random.Random(2)
+    docs = docs_of([(i, sentence(rng, 20)) for i in range(80)])
+    chosen = np.unique(features([r["text"] for r in docs.collect()])[0])[::5]
+    weights = np.linspace(-1, 1, len(chosen)).astype(np.float32)
+    dense = np.zeros(toxicity.BUCKETS, np.float32)
+    dense[chosen] = weights
+    a = docs.select("doc_id", score_texts(F.col("text"), (dense, 0.25)).alias("s"))
+    b = toxicity.chosen_features(docs, chosen).select(
+        "doc_id", toxicity.score_held(F.col("held"), weights, 0.25).alias("s")
+    )
+    left, right = ({r["doc_id"]: r["s"] for r in df.collect()} for df in (a, b))
+    assert left.keys() == right.keys() and np.allclose([left[i] for i in left], [right[i] for i in left])
