@@ -35,16 +35,15 @@ _COARSE = 256
 _WORD_GAP = r"[^\p{L}\p{N}]+"
 
 
-def signatures(text: Column, whole: bool = True) -> Column:
+def signatures(text: Column) -> Column:
     """The sorted set of signatures of a text, as an array of hex strings.
 
     Every common word starts a chain of the next ``CHAIN`` content words, fewer
     at the end of the text; the start of the text counts as a common word. In a
-    text without any common word every content word starts a chain; with
-    ``whole=False`` only the first one does, and nothing else of such a text is
-    in its fingerprint. A text without content words has the hash of the text
-    itself as its only signature, so the set is never empty. The null text is
-    the empty text.
+    text without any common word every content word starts a chain, so that its
+    fingerprint covers the whole text too. A text without content words has the
+    hash of the text itself as its only signature, so the set is never empty.
+    The null text is the empty text.
     """
     text = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(F.lower(text), _WORD_GAP, -1), lambda w: w != "")
@@ -55,8 +54,6 @@ def signatures(text: Column, whole: bool = True) -> Column:
 
     def starts(t: Column) -> Column:
         after_common = F.array_distinct(F.concat(F.array(F.lit(0)), t["p"]))
-        if not whole:
-            return after_common
         every = F.sequence(F.lit(0), F.greatest(F.size(t["c"]) - 1, F.lit(0)))
         return F.when(F.size(t["p"]) > 0, after_common).otherwise(every)
 
@@ -72,8 +69,8 @@ def signatures(text: Column, whole: bool = True) -> Column:
             ),
         ),
     )[0]
-    whole = F.array(F.substring(F.md5(text.cast("binary")), 1, SIGNATURE_DIGITS))
-    return F.array_sort(F.array_distinct(F.when(F.size(sets) > 0, sets).otherwise(whole)))
+    itself = F.array(F.substring(F.md5(text.cast("binary")), 1, SIGNATURE_DIGITS))
+    return F.array_sort(F.array_distinct(F.when(F.size(sets) > 0, sets).otherwise(itself)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -105,14 +102,13 @@ def _descending_range(docs: DataFrame) -> Column:
     return F.when(doc_id.isNull(), len(bounds) + 1).otherwise(number)
 
 
-def with_next(docs: DataFrame, whole: bool = True) -> DataFrame:
+def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, signatures, next_text, next_signatures) of every document.
 
     The next document is the one after it in descending ``doc_id``, nulls last
     and equal ids by their texts; after the last comes the first. A table of
     one document is its own next. Rows are dealt once, by ranges of ids; each
     range also gets a copy of the first document of the range after it.
-    ``whole`` is that of ``signatures``.
     """
     number = _descending_range(docs)
     rows = docs.select("doc_id", text_or_empty().alias("text"), number.alias("range"))
@@ -141,7 +137,7 @@ def with_next(docs: DataFrame, whole: bool = True) -> DataFrame:
         "guest", F.col("doc_id").desc_nulls_last(), tie, "text"
     )
     return (
-        dealt.withColumn("signatures", signatures(F.col("text"), whole))
+        dealt.withColumn("signatures", signatures(F.col("text")))
         .withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_signatures", F.lead("signatures").over(order))
         .filter(~F.col("guest"))
@@ -220,20 +216,16 @@ def class_members(docs: DataFrame) -> DataFrame:
 
 
 def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts, with likenesses.
-
-    As in its SQL, a text without any common word has one chain here, at its
-    start (``whole=False``).
-    """
+    """Fingerprints of all documents and of their edited texts, with likenesses."""
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut)
     )
     return (
-        with_next(table(spark, folder, "documents"), whole=False)
+        with_next(table(spark, folder, "documents"))
         .withColumn("edited", edited)
-        .withColumn("edited_signatures", signatures(F.col("edited"), whole=False))
+        .withColumn("edited_signatures", signatures(F.col("edited")))
         .select(
             "doc_id",
             n.cast("long").alias("n_chars"),
@@ -275,7 +267,9 @@ def _sql_signatures(name: str, source: str, column: str) -> str:
            lambda i: i >= 0) AS marked
   FROM {name}_words
 ), {name}_starts AS (
-  SELECT *, list_distinct(list_concat([0], list_transform(marked, lambda i, j: i - (j - 1)))) AS starts
+  SELECT *, CASE WHEN len(marked) > 0
+    THEN list_distinct(list_concat([0], list_transform(marked, lambda i, j: i - (j - 1))))
+    ELSE range(0, greatest(len(content), 1)) END AS starts
   FROM {name}_places
 ), {name} AS (
   SELECT * EXCLUDE (words, content, marked, starts), list_sort(list_distinct(
