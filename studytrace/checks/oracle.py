@@ -404,6 +404,20 @@ PREFIX = f"""SELECT row_id, "timestamp_TW", uuid, upid FROM log ORDER BY {ORDER}
 LATER = """SELECT row_id, concept_idx, level, level4_proficiency, v_uuid_upid_acc,
     v_upid_acc FROM features WHERE "timestamp_TW" >= TIMESTAMP '2024-01-22'"""
 
+# A linear model whose weights follow a rule, applied to the feature entries.
+FIXED_LINEAR = (
+    *SPLIT,
+    scaled_scalars(),
+    CONCEPTS,
+    GROUPS,
+    "entries AS (" + vector_rows(*SCALAR_PARTS, CONCEPT_PART, GROUP_PART) + ")",
+    """scored AS (
+  SELECT row_id, sum(value * (feature_idx * 37 % 19 - 9) / CAST(8 AS DOUBLE))
+    + CAST(-37 % 19 - 9 AS DOUBLE) / 8 AS margin
+  FROM entries GROUP BY row_id
+)""",
+)
+
 ORACLE = {
     "log_time_slice": with_(LOG)
     + 'SELECT row_id, "timestamp_TW", uuid, ucid, upid, is_correct FROM log'
@@ -591,6 +605,15 @@ ORACLE = {
     "csv_roundtrip": with_(LOG) + "SELECT * EXCLUDE (row_id) FROM log",
     "parquet_roundtrip": with_(USERS) + "SELECT * FROM users",
     "prefix_roundtrip": with_(LOG) + "SELECT row_id, uuid, upid, is_correct FROM log",
+    "fixed_linear_predictions": with_(*FIXED_LINEAR)
+    + """SELECT row_id, round(margin, 9) AS margin, CAST(margin > 0 AS DOUBLE) AS prediction
+    FROM scored""",
+    "fixed_rule_accuracies": with_(*FIXED_LINEAR)
+    + """SELECT is_train, avg(CAST((margin > 0) = is_correct AS DOUBLE)) AS score
+    FROM scored JOIN split USING (row_id) GROUP BY is_train""",
+    "prefix_training_features": with_(*FEATURES)
+    + f"""SELECT row_id, concept_idx, level, level4_proficiency, v_uuid_upid_acc, v_upid_acc
+    FROM features ORDER BY {ORDER} LIMIT 2000""",
     "later_slice_features": with_(*FEATURES) + LATER,
     "advanced_history_features": with_(*FEATURES) + LATER,
     "feature_store_roundtrip": with_(*FEATURES) + "SELECT * FROM features",

@@ -50,7 +50,7 @@ from studytrace.operators.joins import (
 from studytrace.operators.ordered import ordinals, positions
 from studytrace.operators.scaling import entry_bounds, scale_entries, scale_scalars
 from studytrace.operators import selection
-from studytrace.operators.selection import head_percent, train_test_split
+from studytrace.operators.selection import head_in_order, head_percent, train_test_split
 from studytrace.operators.validation import prepare_users, validate, with_enum_domains
 from studytrace.plans.features import (
     FeatureStage,
@@ -85,11 +85,12 @@ from studytrace.plans.scoring import (
 from studytrace.plans.tables import Tables, log_slice
 from studytrace.plans.training import (
     LINEAR_SVM,
-    MODEL_TYPES,
+    apply_linear,
     benchmark_rows,
     explore_rows,
     labelled_vectors,
     scaled_vectors,
+    shares_right,
     split_rows,
     train_all,
     train_benchmark,
@@ -684,6 +685,38 @@ def scored_activity(spark, sf_dir):
     return score_later_activity(later, root, strict=False)
 
 
+def fixed_linear_scores(spark, sf_dir) -> DataFrame:
+    """Split rows scored by a linear model whose weights follow a rule."""
+    split, dims = complete_split(spark, sf_dir)
+    split = durable(split)
+    vectors = scaled_vectors(split, dims.concepts, dims.level4_groups)
+    entries = vector_entries(feature_assembler().transform(vectors), ["row_id"], "features")
+    size = len(SCALAR_FEATURES) + dims.concepts + dims.level4_groups
+    # Eighths, so that sums differ little between engines.
+    rule = (F.col("id") * 37 % 19 - 9) / 8
+    model = spark.range(-1, size).select(F.col("id").cast("int").alias("feature_idx"), rule.alias("weight"))
+    labels = split.select("row_id", "is_train", F.col("is_correct").cast("double").alias("label"))
+    return apply_linear(entries, ["row_id"], model, size).join(labels, "row_id")
+
+
+def fixed_linear_predictions(spark, sf_dir):
+    scored = fixed_linear_scores(spark, sf_dir)
+    return scored.select("row_id", F.round("margin", 9).alias("margin"), "prediction")
+
+
+def fixed_rule_accuracies(spark, sf_dir):
+    return shares_right(fixed_linear_scores(spark, sf_dir))
+
+
+def prefix_training_features(spark, sf_dir):
+    """Features of a training prefix from the prefix alone, whole-slice accuracy."""
+    tables = event_tables(spark, sf_dir)
+    first = Tables(head_in_order(tables.log, 2_000), tables.user, tables.content)
+    overall = overall_accuracy(tables.log).scalar()
+    stage = build_features(first, strict=False, overall=overall)
+    return stage.log.select(*HISTORY_COLUMNS)
+
+
 def _benchmark(spark, sf_dir, train) -> DataFrame:
     tables = preprocessed(spark, sf_dir)
     _, score = train(tables.log, tables.user, tables.content)
@@ -765,6 +798,9 @@ QUERIES = {
     "later_slice_features": later_slice_features,
     "advanced_history_features": advanced_history_features,
     "scored_activity": scored_activity,
+    "fixed_linear_predictions": fixed_linear_predictions,
+    "fixed_rule_accuracies": fixed_rule_accuracies,
+    "prefix_training_features": prefix_training_features,
     "benchmark_score": benchmark_score,
     "benchmark_score_fixed_codes": benchmark_score_fixed_codes,
 }

@@ -28,8 +28,6 @@ from studytrace.functions.columns import ascending, order_tuple
 from studytrace.session import durable
 
 BLOCK_ROWS = 2_000_000
-# Beyond this many blocks, blocks grow instead, to keep the shuffle's size sane.
-MAX_BLOCKS = 20_000
 BROADCAST_ROWS = 500_000
 
 MEASURE = "measure"
@@ -43,6 +41,11 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """How many partitions the session shuffles into."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 @dataclass(frozen=True)
 class LargeGroups:
     """The key groups with more rows than one task should hold."""
@@ -135,22 +138,25 @@ def _in_blocks(
         rest = parts.filter(F.col(_LARGE) == 0).drop(_LARGE)
         heavy = parts.filter(F.col(_LARGE) == 1).drop(_LARGE)
 
-    blocks = min(max(2, math.ceil(large.rows / block_rows)), MAX_BLOCKS)
-    # The block number depends on sampled range bounds, so it is pinned before
-    # two branches of the plan read it.
+    # Two levels: ranges of the order, as many as the session shuffles into, and
+    # blocks of at most block_rows rows within a range. Rows are numbered in
+    # sorted order, a range far apart from the next. The numbers depend on
+    # sampled range bounds, so they are pinned before two branches read them.
+    sort = ascending(dict.fromkeys([*keys, *order]))
+    ranges = min(max(2, math.ceil(large.rows / block_rows)), shuffle_partitions(df))
+    number = F.monotonically_increasing_id()
     pinned = durable(
-        heavy.repartitionByRange(
-            blocks, *ascending(dict.fromkeys([*keys, *order]))
-        ).withColumn(
-            _BLOCK, F.spark_partition_id()
-        )
+        heavy.repartitionByRange(ranges, *sort)
+        .sortWithinPartitions(*sort)
+        .withColumn(_BLOCK, F.floor(number / block_rows))
     )
+    blocks = math.ceil(large.rows / block_rows) + ranges
     summary = pinned.groupBy(*keys, _BLOCK).agg(*summarise)
     carry = summary.select(
         *keys, _BLOCK, *[column.alias(name) for name, column in carried.items()]
     )
     local = windowed(pinned, [*keys, _BLOCK], None)
-    # A block is one partition, so blocks + groups bounds the carry rows.
+    # A group's blocks are neighbours, so blocks + groups bounds the carry rows.
     joined = local.join(
         bounded_broadcast(carry, blocks + large.groups), [*keys, _BLOCK]
     )

@@ -208,11 +208,21 @@ def feature_stage(
     return FeatureStage(history_features(rows, fallback, groups, block_rows), dimensions)
 
 
+def unique_users(tables: Tables) -> bool:
+    """True if no user id is repeated, so that the user join keeps the log's rows."""
+    return duplicate_keys(tables.user, ["uuid"]).isEmpty()
+
+
 def build_features(
-    tables: Tables, strict: bool = True, block_rows: int = BLOCK_ROWS
+    tables: Tables,
+    strict: bool = True,
+    block_rows: int = BLOCK_ROWS,
+    overall: Column | None = None,
 ) -> FeatureStage:
     """Preprocess raw tables and derive features.
 
+    ``overall`` is the overall accuracy where it is not that of the log itself.
+
     The same values as ``feature_stage(preprocess(tables))``. Checks, group
     sizes and overall accuracy are taken from the raw log, before any join, and
     the log is clustered by user before the user join, which keeps the layout.
@@ -225,8 +235,9 @@ def build_features(
     log = by_user(tables.log, groups) if small_content else tables.log
     rows = preprocess_log(log, tables.user)
     # A repeated user id would repeat log rows, and so shift the accuracy.
-    unique = duplicate_keys(tables.user, ["uuid"]).isEmpty()
-    fallback = overall_accuracy(tables.log if unique else rows).scalar()
+    fallback = overall
+    if fallback is None:
+        fallback = overall_accuracy(tables.log if unique_users(tables) else rows).scalar()
     rows = with_content_index(rows, dimensions)
     rows = rows if small_content else by_user(rows, groups)
     return FeatureStage(history_features(rows, fallback, groups, block_rows), dimensions)

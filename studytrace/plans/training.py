@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studytrace.functions.columns import row_key
@@ -28,6 +28,7 @@ from studytrace.operators.assemble import (
 )
 from studytrace.operators.explore import with_category_codes, with_fixed_codes
 from studytrace.operators.joins import log_user_content
+from studytrace.operators.ordered import bounded_broadcast
 from studytrace.operators.scaling import (
     FIT_EACH,
     entry_bounds,
@@ -167,8 +168,16 @@ def classifier(model_type: str, train_rows: int, boosting_stages: int = 100) ->
     loss; Spark averages the loss, hence 1 / ``train_rows``.
     """
     if model_type == "DecisionTreeClassifier":
-        # 30 is the deepest tree Spark grows.
-        return DecisionTreeClassifier(impurity="entropy", maxDepth=30, maxBins=64, seed=0)
+        # 30 is the deepest tree Spark grows. Levels of a deep tree are wide: room
+        # for more nodes a pass, and rows that remember theirs, save passes.
+        return DecisionTreeClassifier(
+            impurity="entropy",
+            maxDepth=30,
+            maxBins=64,
+            seed=0,
+            maxMemoryInMB=1024,
+            cacheNodeIds=True,
+        )
     if model_type == "GradientBoostingClassifier":
         return GBTClassifier(maxIter=boosting_stages, stepSize=0.1, maxDepth=3, seed=0)
     if model_type in ("LogisticRegression_L2", "LogisticRegression_L1"):
@@ -183,21 +192,61 @@ def classifier(model_type: str, train_rows: int, boosting_stages: int = 100) ->
     raise ValueError(f"Unsupported model_type: {model_type}")
 
 
+def shares_right(scored: DataFrame) -> DataFrame:
+    """(is_train, score): the share of rows whose ``prediction`` is their ``label``."""
+    hit = (F.col("prediction") == F.col("label")).cast("double")
+    return scored.groupBy("is_train").agg(F.avg(hit).alias("score"))
+
+
 def accuracies(model: Model, data: DataFrame) -> dict[str, float | None]:
     """Share of right predictions on train and test rows, from one pass."""
-    hit = (F.col("prediction") == F.col("label")).cast("double")
-    scored = model.transform(data).groupBy("is_train").agg(F.avg(hit).alias("score"))
-    found = {row["is_train"]: row["score"] for row in scored.collect()}
+    found = {row["is_train"]: row["score"] for row in shares_right(model.transform(data)).collect()}
     return {"train_score": found.get(True), "test_score": found.get(False)}
 
 
+INTERCEPT = -1
+
+
+def linear_rows(spark: SparkSession, model: Model) -> DataFrame:
+    """A fitted linear model as rows (feature_idx, weight), the intercept at -1.
+
+    Any SQL engine can apply it to stored feature entries.
+    """
+    cells = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray()) if w]
+    return spark.createDataFrame(
+        [(INTERCEPT, float(model.intercept)), *cells], "feature_idx int, weight double"
+    )
+
+
+def apply_linear(entries: DataFrame, key: Sequence[str], model: DataFrame, size: int) -> DataFrame:
+    """(key, margin, prediction) of feature entries by a linear model in rows.
+
+    ``entries`` are (key, feature_idx, value) with at least one entry per row,
+    and the model has at most ``size`` rows. Margins are summed on the map side.
+    """
+    intercept = model.filter(F.col("feature_idx") == INTERCEPT).agg(F.sum("weight")).scalar()
+    weights = bounded_broadcast(model.filter(F.col("feature_idx") != INTERCEPT), size)
+    summed = (
+        entries.join(weights, "feature_idx", "left")
+        .groupBy(*key)
+        .agg(F.sum(F.col("value") * F.coalesce("weight", F.lit(0.0))).alias("margin"))
+    )
+    margin = F.col("margin") + F.coalesce(intercept, F.lit(0.0))
+    return summed.withColumn("margin", margin).withColumn(
+        "prediction", (F.col("margin") > 0).cast("double")
+    )
+
+
 def train_and_score(
-    data: DataFrame, model_type: str, boosting_stages: int = 100
+    data: DataFrame, model_type: str, boosting_stages: int = 100, train_rows: int | None = None
 ) -> tuple[Model, dict[str, float | None]]:
-    """Fit one model on rows with ``features``, ``label``, ``is_train``."""
+    """Fit one model on rows with ``features``, ``label``, ``is_train``.
+
+    ``train_rows`` is the number of training rows where it is known.
+    """
     train = data.filter("is_train")
-    estimator = classifier(model_type, max(train.count(), 1), boosting_stages)
-    model = estimator.fit(train)
+    rows = train.count() if train_rows is None else train_rows
+    model = classifier(model_type, max(rows, 1), boosting_stages).fit(train)
     return model, accuracies(model, data)
 
 
@@ -221,8 +270,9 @@ def train_all(
     )
     try:
         rows = []
+        train_rows = data.filter("is_train").count()
         for model_type in model_types:
-            model, scores = train_and_score(data, model_type, boosting_stages)
+            model, scores = train_and_score(data, model_type, boosting_stages, train_rows)
             if model_root:
                 save_model(PipelineModel([assembler, model]), model_root, model_type)
             rows.append((model_type, scores["train_score"], scores["test_score"]))
