@@ -2,7 +2,8 @@
 
 Patterns find credential-like spans in every text; every value's hash is then
 counted over the distinct owners and repositories that hold it. A value that
-many owners hold is a copied example; a value only one owner holds looks live.
+several owners hold, or one owner in many repositories, is a copied example; a
+value that one owner holds in few repositories looks live.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ HEX_LONG = f"[0-9a-f]{{{HEX_LEAST},}}"
 #: of both cases.
 BARE = "[A-Za-z0-9+/_=-]{24,}"
 OWNED = "owned"
-MAX_OWNERS = 1
+#: A value looks live up to so many owners and repositories.
+MAX_OWNERS, MAX_REPOSITORIES = 1, 2
 REDACTED = "[secret]"
 
 
@@ -148,11 +150,12 @@ def scan_secrets(
     owner: str = "source",
     repository: str = "lang",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """One row per document: uid, doc_id, text_key, ``base`` and ``found`` spans.
 
     Each span has kind, start, end, owners, repositories and ``live``: held by
-    at most ``max_owners`` owners. Base spans always stay. ``found`` also has
+    at most ``max_owners`` owners in at most ``max_repositories`` repositories. Base spans always stay. ``found`` also has
     the bare tokens (kind ``owned``) that lie outside every base span and look
     live. ``text_key`` names the text; it is null where no pattern matches.
 
@@ -188,7 +191,9 @@ def scan_secrets(
         "end",
         "owners",
         "repositories",
-        (F.col("owners") <= max_owners).alias("live"),
+        (
+            (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+        ).alias("live"),
     )
     grouped = joined.groupBy("uid").agg(
         F.first("doc_id").alias("doc_id"),
@@ -272,6 +277,11 @@ def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def _most(count: str) -> Column:
+    """The largest count over a document's spans; zero without any."""
+    return F.coalesce(F.array_max(F.transform("found", lambda s: s[count])), F.lit(0))
+
+
 def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents, as counts, digest of the base spans, and spans."""
     found = scan_secrets(table(spark, folder, "documents"))
@@ -283,6 +293,8 @@ def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
         _listed("found").alias("spans"),
         live.alias("n_live"),
         (F.size("found").cast("long") - live).alias("n_copied"),
+        _most("owners").alias("max_owners"),
+        _most("repositories").alias("max_repositories"),
     )
 
 
@@ -313,11 +325,15 @@ WITH pieces AS ({" UNION ALL ".join([
     WHEN 'bare' THEN regexp_matches(val, '[0-9]') AND regexp_matches(val, '[a-z]')
       AND regexp_matches(val, '[A-Z]') ELSE true END
 ), owned AS (
-  SELECT value_hash, count(DISTINCT source) AS owners FROM spans GROUP BY 1
+  SELECT value_hash, count(DISTINCT source) AS owners,
+    count(DISTINCT concat_ws('/', source, lang)) AS repositories
+  FROM spans GROUP BY 1
 ), judged AS (
-  SELECT s.*, o.owners <= {MAX_OWNERS} AS live FROM spans s JOIN owned o USING (value_hash)
+  SELECT s.*, o.owners, o.repositories,
+    o.owners <= {MAX_OWNERS} AND o.repositories <= {MAX_REPOSITORIES} AS live
+  FROM spans s JOIN owned o USING (value_hash)
 ), kept AS (
-  SELECT doc_id, start, stop, live, CASE kind WHEN 'bare' THEN '{OWNED}' ELSE kind END AS kind,
+  SELECT doc_id, start, stop, live, owners, repositories, CASE kind WHEN 'bare' THEN '{OWNED}' ELSE kind END AS kind,
          CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 WHEN 'hex' THEN 2 ELSE 3 END AS rank
   FROM judged a
   WHERE kind <> 'bare' OR (live AND NOT EXISTS (
@@ -332,6 +348,8 @@ SELECT d.doc_id,
          FILTER (kind <> '{OWNED}'), '')) AS base_sha256,
        coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank), '') AS spans,
        count(*) FILTER (live) AS n_live,
-       count(*) FILTER (NOT live) AS n_copied
+       count(*) FILTER (NOT live) AS n_copied,
+       coalesce(max(owners), 0) AS max_owners,
+       coalesce(max(repositories), 0) AS max_repositories
 FROM documents d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
 """

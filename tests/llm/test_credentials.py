@@ -50,13 +50,25 @@ def test_ownership_parts_live_from_copied(docs_of):
     assert all(found[i] == [] for i in range(5))
 
 
+def test_one_owner_with_many_repositories_is_no_secret(docs_of):
+    copied, live = "Qw3" * 9, "Zx9" * 9
+    rows = [(i, f"see {copied} there", f"l{i}", "o", 0) for i in range(3)]
+    rows += [(10 + i, f"use {live} now", f"l{i}", "o", 0) for i in range(2)]
+    found = {r["doc_id"]: r for r in scan_secrets(docs_of(rows)).collect()}
+    assert all(shown(found[i]["found"]) == [] for i in range(3))
+    for i in range(2):
+        (span,) = found[10 + i]["found"]
+        assert (span["owners"], span["repositories"], span["live"]) == (1, 2, True)
+    assert scan_secrets(docs_of(rows), max_repositories=3).filter("size(found) = 1").count() == 5
+
+
 def test_awkward_rows(awkward, awkward_rows, empty):
     rows = scan_secrets(awkward).collect()
     assert len(rows) == len(awkward_rows)
     assert sorted(map(tuple, [shown(r["base"]) for r in rows])) == sorted(
         tuple(base(r[1])) for r in awkward_rows
     )
-    assert scan_secrets(empty).collect() == []
+    assert scan_secrets(empty).collect() == [] and redact(empty).collect() == []
 
 
 def test_redact_masks_spans_and_keeps_rows(awkward, awkward_rows):

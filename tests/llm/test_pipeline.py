@@ -23,7 +23,7 @@ def test_every_stage_takes_effect(spark):
     assert sum(judged) > 0.97 * len(judged)
     texts = Counter(r["text"] for r in single.collect())
     assert max(texts.values()) == 1 and set(texts) <= {start[i] for i in left}
-    assert {t for t in (start[i] for i in left)} - set(texts) != set(start.values())
+    assert {r["doc_id"] for r in single.collect()} < left
     for row in masked.collect():
         assert not base(row["text"]) and row["n_chars"] == len(row["text"])
     assert {r["doc_id"] for r in masked.collect()} == {r["doc_id"] for r in single.collect()}
@@ -41,6 +41,9 @@ def test_awkward_rows(spark, awkward, empty, tmp_path):
         str(tmp_path / "labels.parquet")
     )
     for docs in (awkward, empty):
+        start = Counter(r["doc_id"] for r in docs.collect())
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, str(tmp_path))
-        assert docs.count() >= 0
+        left = {r["doc_id"] for r in docs.collect()}
+        # Without labels nothing is rejected; of equal texts one row stays.
+        assert left <= set(start) and bool(left) == bool(start)
