@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +46,35 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table written during a job."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES.get()[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables of a job when it ends, also by an error.
+
+    For jobs whose result is stored, or on the driver: data frames that read
+    those tables are of no use afterwards. Without a scope tables are left for
+    the cluster's housekeeping, as checkpoints are.
+    """
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            place = hadoop(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def durable(df: DataFrame, partition_by: str | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -12,7 +13,7 @@ from studytrace.plans.features import build_features
 from studytrace.plans.jobs import seed_warehouse
 from studytrace.plans.tables import Tables
 from studytrace.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
-from studytrace.session import durable, scratch_path, shared_dir
+from studytrace.session import durable, scratch_path, scratch_scope, shared_dir
 from studytrace.sources.files import (
     CORRUPT,
     PERMISSIVE,
@@ -278,6 +279,25 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch, tmp_path):
     assert session.CHECKPOINT_DIR == "spark.checkpoint.dir"
 
 
+def test_scratch_tables_go_with_their_job(raw_log, spark):
+    root = shared_dir(spark).removeprefix("file:")
+
+    def tables():
+        return {name for name in os.listdir(root) if name.startswith("table-")}
+
+    before = tables()
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        outer = durable(raw_log)
+        with scratch_scope(spark):
+            durable(raw_log)
+        # The inner job's table is gone, the outer one's is not.
+        assert len(tables() - before) == 1 and outer.count() == raw_log.count()
+        raise RuntimeError("stopped")
+    assert tables() == before
+    durable(raw_log)
+    assert len(tables() - before) == 1
+
+
 def test_durable_cuts_lineage(raw_log, capsys):
     stored = durable(raw_log.filter("row_id > 1"), "is_correct")
     assert stored.count() == 3
