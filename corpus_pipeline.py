@@ -11,7 +11,7 @@ from studytrace.llm.importance import keep_good
 from studytrace.llm.mixing import poisson_mix, temperature_weights
 from studytrace.llm.order_minhash import keep_one
 from studytrace.llm.pieces import encoded, model_path
-from studytrace.session import scratch_path
+from studytrace.session import scratch_path, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,12 +55,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is a table in the shared folder."""
+    """All stages over ``documents``; each result is a table in the shared folder.
+
+    Null ids and texts, repeated rows and empty tables pass every stage as its
+    operator says; extra columns of ``documents`` are kept up to the last stage.
+    What a stage writes in between is deleted when its result is there.
+    """
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            path = scratch_path(spark, f"stage{number}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        path = scratch_path(spark, f"stage{number}")
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
