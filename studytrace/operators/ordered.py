@@ -1,12 +1,16 @@
 """Running totals, previous values and positions over an ordered key group.
 
 A window function sends each key group to one task. That is the right plan
-while groups are small, and it is the plan used here. A group with more than
-``block_rows`` rows is instead cut into blocks: contiguous ranges of the total
-order, each small enough for one task. The window then runs inside blocks, and
-what earlier blocks of the group contribute (one row per block) is added on.
-Totals are sums of whole numbers, so both plans give the same values, and which
-groups count as large is a question of speed alone.
+while groups are small, and it is the plan used here. If a group has more than
+``block_rows`` rows, the log is written once in blocks: contiguous ranges of its
+order, whatever the keys, each small enough for one task. Large groups are then
+windowed block by block, and what earlier blocks of the group contribute (one row
+per group and block) is added on; other groups stay whole. Several windows with
+different keys share the blocks. Totals are sums of whole numbers, so both plans
+give the same values, and which groups count as large is a question of speed alone.
+
+With N rows there are at most N / ``block_rows`` blocks and as many large groups,
+so the added rows are no more than a share N / ``block_rows`` ² of the log.
 
 ``large`` says which groups those are: ``MEASURE`` counts the rows at hand, None
 states that there are none, and a ``LargeGroups`` is the result of an earlier
@@ -15,7 +19,6 @@ count, for instance over the source table before expensive steps.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -34,6 +37,7 @@ MEASURE = "measure"
 
 _BLOCK = "_block"
 _LARGE = "_large"
+_PART = "_part"
 
 
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -41,11 +45,6 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    """How many partitions the session shuffles into."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 @dataclass(frozen=True)
 class LargeGroups:
     """The key groups with more rows than one task should hold."""
@@ -109,6 +108,28 @@ def _in_windows(df, keys, order, windowed: Callable) -> DataFrame:
     return windowed(df, keys, scatter)
 
 
+def with_blocks(df: DataFrame, order: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``df`` written with the number of the block that each row is in.
+
+    Two levels: ranges of the order, as many as the session shuffles into, and
+    within a range blocks of at most ``block_rows`` rows. Rows are numbered in
+    sorted order, each range far apart from the next. The numbers depend on
+    sampled range bounds, so they are pinned before several readers meet.
+    """
+    sort = ascending(dict.fromkeys(order))
+    number = F.monotonically_increasing_id()
+    return durable(
+        df.repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
+        .withColumn(_BLOCK, F.floor(number / block_rows))
+    )
+
+
+def without_blocks(df: DataFrame) -> DataFrame:
+    """``df`` without the column that ``with_blocks`` adds."""
+    return df.drop(_BLOCK)
+
+
 def _in_blocks(
     df: DataFrame,
     keys: Sequence[str],
@@ -120,51 +141,30 @@ def _in_blocks(
     carried: Mapping[str, Column],
     combined: Mapping[str, Column],
 ) -> DataFrame:
-    """Apply ``windowed`` inside blocks of the large groups and add the carry.
+    """Apply ``windowed`` to small groups and to blocks of large ones; add the carry.
 
-    ``summarise`` reduces a block to one row, ``carried`` are window expressions
-    over a group's block rows, and ``combined`` merges local value and carry.
+    ``summarise`` reduces a block of a group to one row, ``carried`` are window
+    expressions over a group's block rows, and ``combined`` merges local value
+    and carry, which is null in small groups. Rows lacking a key are scattered.
     """
-    if large.frame is None:
-        rest, heavy = None, df
-    else:
-        # Stored in two partitions, so that neither branch repeats the work
-        # behind df, nor reads the other one's rows.
-        chosen = large.frame.withColumn(_LARGE, F.lit(1))
-        marked = df.join(bounded_broadcast(chosen, large.groups), list(keys), "left")
-        parts = durable(
-            marked.withColumn(_LARGE, F.coalesce(_LARGE, F.lit(0))), _LARGE
-        )
-        rest = parts.filter(F.col(_LARGE) == 0).drop(_LARGE)
-        heavy = parts.filter(F.col(_LARGE) == 1).drop(_LARGE)
-
-    # Two levels: ranges of the order, as many as the session shuffles into, and
-    # blocks of at most block_rows rows within a range. Rows are numbered in
-    # sorted order, a range far apart from the next. The numbers depend on
-    # sampled range bounds, so they are pinned before two branches read them.
-    sort = ascending(dict.fromkeys([*keys, *order]))
-    ranges = min(max(2, math.ceil(large.rows / block_rows)), shuffle_partitions(df))
-    number = F.monotonically_increasing_id()
-    pinned = durable(
-        heavy.repartitionByRange(ranges, *sort)
-        .sortWithinPartitions(*sort)
-        .withColumn(_BLOCK, F.floor(number / block_rows))
-    )
-    blocks = math.ceil(large.rows / block_rows) + ranges
-    summary = pinned.groupBy(*keys, _BLOCK).agg(*summarise)
+    rows = df if _BLOCK in df.columns else with_blocks(df, order, block_rows)
+    part = F.col(_BLOCK)
+    if large.frame is not None:
+        chosen = bounded_broadcast(large.frame.withColumn(_LARGE, F.lit(True)), large.groups)
+        rows = rows.join(chosen, list(keys), "left")
+        part = F.when(any_null(keys), F.xxhash64(*order)).when(F.col(_LARGE), part)
+    rows = rows.withColumn(_PART, part)
+    split = rows.filter(_LARGE) if large.frame is not None else rows
+    summary = split.groupBy(*keys, _PART).agg(*summarise)
     carry = summary.select(
-        *keys, _BLOCK, *[column.alias(name) for name, column in carried.items()]
+        *keys, _PART, *[column.alias(name) for name, column in carried.items()]
     )
-    local = windowed(pinned, [*keys, _BLOCK], None)
-    # A group's blocks are neighbours, so blocks + groups bounds the carry rows.
-    joined = local.join(
-        bounded_broadcast(carry, blocks + large.groups), [*keys, _BLOCK]
-    )
-    done = joined.withColumns(dict(combined)).drop(_BLOCK, *carried)
-    if rest is None:
-        return done
-    plain = _in_windows(rest, keys, order, windowed)
-    return plain.unionByName(done.select(*plain.columns))
+    # The same layout serves the window and the join.
+    local = windowed(rows, [*keys, _PART], None)
+    joined = local.join(carry, [*keys, _PART], "left")
+    done = joined.withColumns(dict(combined))
+    added = [name for name in done.columns if name not in (*df.columns, _PART, _LARGE, _BLOCK, *carried)]
+    return done.select(*df.columns, *added)
 
 
 def running_totals(
@@ -201,7 +201,7 @@ def running_totals(
         return _in_windows(df, keys, order, windowed)
 
     earlier = (
-        W.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy(*keys).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
     )
     return _in_blocks(
         df,
@@ -215,7 +215,9 @@ def running_totals(
             f"_carry_{name}": F.coalesce(F.sum(name).over(earlier), F.lit(0))
             for name in totals
         },
-        combined={name: F.col(name) + F.col(f"_carry_{name}") for name in totals},
+        combined={
+            name: F.col(name) + F.coalesce(f"_carry_{name}", F.lit(0)) for name in totals
+        },
     )
 
 
@@ -248,7 +250,7 @@ def previous_value(
     if large is None:
         return _in_windows(df, keys, order, windowed)
 
-    by_block = W.partitionBy(*keys).orderBy(_BLOCK)
+    by_block = W.partitionBy(*keys).orderBy(_PART)
     return _in_blocks(
         df,
         keys,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studytrace.functions.columns import require_columns
+from studytrace.functions.columns import log_order, require_columns
 from studytrace.operators.history import (
     level4_proficiency,
     overall_accuracy,
@@ -19,11 +19,13 @@ from studytrace.operators.ordered import (
     BROADCAST_ROWS,
     LargeGroups,
     bounded_broadcast,
-    large_groups,
     ordinals,
+    with_blocks,
+    without_blocks,
 )
 from studytrace.plans.preprocess import preprocess_log
 from studytrace.plans.tables import Tables
+from studytrace.session import durable
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,10 @@ class LogGroups:
     user_concept: LargeGroups | None = None
     user_level4: LargeGroups | None = None
 
+    def any_large(self) -> bool:
+        """True if one of the windows meets a large group."""
+        return any((self.problem, self.user_problem, self.user_concept, self.user_level4))
+
 
 def log_groups(
     log: DataFrame, dimensions: Dimensions, block_rows: int = BLOCK_ROWS
@@ -95,28 +101,49 @@ def log_groups(
     """Measure the groups once, on the source log, reading key columns only.
 
     A small log holds no large group, and only a large user can have a large
-    group below it. Rows without a user count as one user here.
+    group below it. Rows without a user count as one user here. All large groups
+    are written as one small table.
     """
     total = log.count()
     if total <= block_rows:
         return LogGroups()
-    problem = large_groups(log, ["upid"], block_rows, total)
-    nameless = log.filter(F.col("uuid").isNull()).count()
-    users = large_groups(log, ["uuid"], block_rows, total)
-    if users is None:
-        return LogGroups(users_fit=nameless <= block_rows, problem=problem)
     keys = [c for c in ("uuid", "ucid", "upid", "level4_id") if c in log.columns]
-    theirs = log.select(*keys).join(
-        bounded_broadcast(users.frame, users.groups), "uuid", "left_semi"
-    )
-    indexed = with_content_index(theirs, dimensions)
+    rows = log.select(*keys)
+
+    def large(df: DataFrame, *by: str) -> DataFrame:
+        counted = df.dropna(subset=list(by)).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+        return counted.filter(F.col("rows") > block_rows).withColumn("by", F.lit(",".join(by)))
+
+    users = large(rows, "uuid")
+    # At most total / block_rows users qualify.
+    chosen = bounded_broadcast(users.select("uuid"), total // block_rows)
+    theirs = with_content_index(rows.join(chosen, "uuid", "left_semi"), dimensions)
+    windows = {
+        "problem": large(rows, "upid"),
+        "user_problem": large(theirs, "uuid", "upid"),
+        "user_concept": large(theirs, "uuid", "ucid"),
+        "user_level4": large(theirs, "uuid", "level4_id"),
+    }
+    table = users
+    for found in windows.values():
+        table = table.unionByName(found, allowMissingColumns=True)
+    table = durable(table)
+    sizes = {r["by"]: r for r in table.groupBy("by").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).collect()}
+
+    def groups(*by: str) -> LargeGroups | None:
+        size = sizes.get(",".join(by))
+        if size is None:
+            return None
+        frame = table.filter(F.col("by") == ",".join(by)).select(*by)
+        return LargeGroups(by, frame, size["n"], size["rows"])
+
+    nameless = log.filter(F.col("uuid").isNull()).count()
     return LogGroups(
-        False,
-        problem,
-        *[
-            large_groups(indexed, ["uuid", below], block_rows, total)
-            for below in ("upid", "ucid", "level4_id")
-        ],
+        "uuid" not in sizes and nameless <= block_rows,
+        groups("upid"),
+        groups("uuid", "upid"),
+        groups("uuid", "ucid"),
+        groups("uuid", "level4_id"),
     )
 
 
@@ -152,10 +179,12 @@ def history_features(
 ) -> DataFrame:
     """Add level4 proficiency and both running accuracies.
 
-    Per-user features come first, since they keep the layout of ``by_user``.
+    Per-user features come first, since they keep the layout of ``by_user``. If
+    any group is large, the log is written once, in blocks that all windows share.
     """
+    rows = with_blocks(log, log_order(log), block_rows) if groups.any_large() else log
     rows = level4_proficiency(
-        log,
+        rows,
         block_rows=block_rows,
         large_concepts=groups.user_concept,
         large_level4=groups.user_level4,
@@ -171,7 +200,7 @@ def history_features(
         groups.user_problem,
         before.user_problems if before else None,
     )
-    return prior_accuracy(
+    rows = prior_accuracy(
         rows,
         ["upid"],
         "v_upid_acc",
@@ -180,6 +209,7 @@ def history_features(
         groups.problem,
         before.problems if before else None,
     )
+    return without_blocks(rows)
 
 
 def require_known_keys(tables: Tables) -> None:

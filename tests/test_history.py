@@ -25,6 +25,7 @@ from studytrace.plans.features import (
 )
 from studytrace.plans.preprocess import preprocess
 from studytrace.plans.tables import Tables
+from studytrace.session import durable
 from tests import replay
 
 HISTORY_SCHEMA = (
@@ -240,6 +241,28 @@ def test_group_sizes(spark, raw_log, two_content):
     assert not log_groups(nameless, dims, 2).users_fit
 
 
+def test_hot_keys_cost_two_written_tables(spark, raw_log, three_users, two_content, monkeypatch):
+    """One small table of large groups, and the log once in blocks all windows share."""
+    from studytrace.operators import ordered
+    from studytrace.plans import features
+
+    written = []
+
+    def counted(df, *args):
+        written.append(df.columns)
+        return durable(df, *args)
+
+    monkeypatch.setattr(ordered, "durable", counted)
+    monkeypatch.setattr(features, "durable", counted)
+    hot = raw_log.withColumns({"uuid": F.lit("u1"), "upid": F.lit("p"), "ucid": F.lit("c1")})
+    stage = build_features(Tables(hot, three_users, two_content), block_rows=2)
+    groups = log_groups(hot, content_dimensions(two_content), 2)
+    assert groups.any_large() and len(written) == 3  # log_groups was called once more here
+    plain = build_features(Tables(hot, three_users, two_content))
+    listed = [sorted(repr(tuple(r)) for r in s.log.select(*plain.log.columns).collect()) for s in (stage, plain)]
+    assert listed[0] == listed[1]
+
+
 def test_plan_has_one_shuffle_per_key_and_no_python(spark, sf_dir, capsys):
     from studytrace.checks.queries import event_features
 
