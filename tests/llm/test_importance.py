@@ -88,3 +88,44 @@ def test_awkward_rows(awkward, awkward_rows, empty, no_labels, spark):
     left = keep_good(awkward, labels)
     assert left.filter("doc_id = 3").count() == 2
     assert left.select(F.col("uid")).distinct().first()[0] == "taken"
+
+
+def plain_buckets(text):
+    """Buckets of words and of neighbouring words, one at a time."""
+    from studytrace.llm.wordhash import _MIX, mixed
+
+    own = hashed(re.findall(r"\w+|[^\w\s]+", text))
+    out = [int(h) >> 50 for h in own]
+    for a, b in zip(own, own[1:]):
+        with np.errstate(over="ignore"):
+            joined = _MIX if a == b else mixed(mixed(np.array([a])) + b)[0]
+        out.append(int(joined) >> 50)
+    return out
+
+
+def test_query_equals_plain_models_and_gumbel_keys(spark, docs_of, tmp_path):
+    from studytrace.llm.importance import SEED, op9_importance_resampling
+
+    docs, labels, rows = corpus(spark, docs_of)
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    raw, target = np.ones(2**14), np.ones(2**14)
+    for i, text in rows:
+        for b in plain_buckets(text):
+            raw[b] += 1
+            target[b] += quality.get(i) == 1
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    weight = {i: round(float(sum(ratio[b] for b in plain_buckets(t))), 6) for i, t in rows}
+    seeds = docs.select("doc_id", F.xxhash64(F.lit(SEED), F.col("doc_id")).alias("h")).collect()
+    uniform = {r["doc_id"]: (((r["h"] % 2**64) >> 11) + 0.5) / 2.0**53 for r in seeds}
+    key = {i: w - math.log(-math.log(uniform[i])) for i, w in weight.items()}
+    got = {r["doc_id"]: r for r in op9_importance_resampling(spark, str(tmp_path)).collect()}
+    assert all(abs(got[i]["log_weight"] - w) < 2e-6 for i, w in weight.items())
+    # Every bound between the worst good and the best bad document draws as many.
+    worst = min(weight[i] for i, q in quality.items() if q == 1)
+    best = max(weight[i] for i, q in quality.items() if q == 0)
+    assert best < worst
+    k = sum(w >= (best + worst) / 2 for w in weight.values())
+    drawn = set(sorted(key, key=key.get)[-k:])
+    assert {i for i, r in got.items() if r["kept"]} == drawn

@@ -50,3 +50,27 @@ def test_awkward_rows(awkward, awkward_rows, empty):
     )
     check_slots(rows)
     assert shard_by_bytes(empty).collect() == []
+
+
+@pytest.mark.parametrize("hot", [0, 300])
+def test_splitters_equal_sorted_splitters(spark, hot):
+    """Boundaries against the rows sorted on one machine."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    rows = [(rng.getrandbits(63) - 2**62, i, i, rng.randint(1, 400)) for i in range(900)]
+    rows += [(7, i, 5_000 + i, 50) for i in range(hot)]
+    df = spark.createDataFrame(rows, "_hash long, _id long, _row long, size long").repartition(5)
+    ordered = sorted(rows)
+    keys = [sum((v + 2**63) << 64 * (2 - at) for at, v in enumerate(r[:3])) for r in ordered]
+    total, parts = sum(r[3] for r in rows), 16
+    cuts = sharding.splitters(df, parts)
+    assert len(cuts) == parts - 1 and cuts == sorted(cuts)
+    for i, cut in enumerate(cuts, 1):
+        below = sum(r[3] for r, key in zip(ordered, keys, strict=True) if key < cut)
+        nearest = min(
+            abs(sum(r[3] for r in ordered[:n]) - i * total // parts) for n in range(len(ordered) + 1)
+        )
+        # Within tolerance, or as near as any boundary between two rows is.
+        assert abs(below - i * total // parts) <= max(0.01 * total / parts, nearest) + 1
+    assert df.agg(F.sum("size")).first()[0] == total
