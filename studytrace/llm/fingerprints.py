@@ -149,7 +149,8 @@ def similar_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """Links between different fingerprints with likeness of at least ``least``.
 
     Returns (class_a, class_b, similarity), classes named by the digest of their
-    fingerprint; ``class_members`` tells each document's class.
+    fingerprint; ``class_members`` tells each document's class. Copies are one
+    class, so repeated rows add no links; an empty table has none.
     """
     return _links(_class_sets(class_members(docs)), least)
 
@@ -210,7 +211,11 @@ def _links(sets: DataFrame, least: float) -> DataFrame:
 
 
 def class_members(docs: DataFrame) -> DataFrame:
-    """(doc_id, class, signatures): equal fingerprints make a class."""
+    """(doc_id, class, signatures): equal fingerprints make a class.
+
+    One row per document row, null and repeated ids included; null texts are
+    empty, and all empty texts are one class. Other columns are not read.
+    """
     signed = docs.select("doc_id", signatures(F.col("text")).alias("signatures"))
     return signed.withColumn("class", F.md5(F.array_join("signatures", "").cast("binary")))
 
@@ -239,7 +244,11 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_spot_classes(spark: SparkSession, folder: str) -> DataFrame:
-    """The class of all documents, and the number of other classes like it."""
+    """The class of all documents, and the number of other classes like it.
+
+    One row per document row, as in ``class_members``; a class of no likeness to
+    others, such as that of empty texts, has no links.
+    """
     members = durable(class_members(table(spark, folder, "documents")))
     links = _links(_class_sets(members), SIMILAR)
     counts = (

@@ -27,8 +27,8 @@ def temperature_weights(
 ) -> DataFrame:
     """(source, weight): each source weighs its size to the power ``temperature``.
 
-    Size is the number of documents with a text. Documents without a source
-    form a source of their own.
+    Size is the number of documents, with a text or without. Documents without a
+    source form a source of their own.
     """
     return docs.groupBy(source).agg(
         F.pow(F.count(F.lit(1)).cast("double"), F.lit(float(temperature))).alias("weight")
