@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the source tables' columns, in order.
 LOG_PROBLEM = T.StructType(
     [
         T.StructField("timestamp_TW", T.TimestampNTZType()),
@@ -61,6 +62,7 @@ SCHEMAS = {
     "info_content": INFO_CONTENT,
 }
 
+# The declared keys.
 PRIMARY_KEYS = {
     "log_problem": ("timestamp_TW", "uuid", "upid"),
     "user_profile": ("uuid",),
