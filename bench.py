@@ -23,14 +23,19 @@ HEADLINE = (
     "user_problem_prior_accuracy",
     "level4_proficiency",
     "feature_stage",
+    "feature_stage_in_blocks",
+    "later_slice_features",
     "order_history_scale",
     "train_test_split",
     "sample_prefix",
+    "sample_prefix_in_slots",
     "minmax_scaled_scalars",
     "assembled_features",
+    "assembled_features_negative_levels",
     "category_codes",
     "correlation_matrix",
     "validation_accepted",
+    "seed_rejects",
     "stage_summary",
     "feature_store_roundtrip",
     "benchmark_score",
