@@ -95,9 +95,9 @@ _MATRICES = {"concept_idx": "concept_level", "level4_idx": "level4_proficiency"}
 
 
 def fit_scaling(split: DataFrame, fit_on: str = FIT_EACH) -> Scaling:
-    """Bounds of every feature per split, written out."""
+    """Bounds of every feature per split; those of the matrices, read twice, written out."""
     return Scaling(
-        durable(scalar_bounds(split, SCALAR_FEATURES, fit_on)),
+        scalar_bounds(split, SCALAR_FEATURES, fit_on),
         durable(entry_bounds(split, _MATRICES, fit_on)),
     )
 
