@@ -25,14 +25,15 @@ SHINGLE = 5
 SIMILAR = 0.8
 #: Hash functions, and how many of them make a band. A pair exactly as similar
 #: as ``SIMILAR`` agrees on a band with probability 0.41: it shares none of the
-#: bands once in 38,000 pairs, and fewer than two once in 2,500.
+#: bands once in 38,000 pairs.
 FUNCTIONS = 40
 BAND = 2
 BANDS = FUNCTIONS // BAND
 #: Texts of each bucket that all its members are compared with at first.
 LEADERS = 4
-#: Members of larger buckets must share a second band to be compared.
+#: Members of larger buckets are compared in squares, ``TILE`` members a side.
 SMALL_BUCKET = 128
+TILE = 1024
 #: Row numbers of candidates that may be broadcast, 8 bytes each.
 UID_BOUND = 1_000_000
 #: Bits that a text's shingles are hashed to. A bit that only one of two texts
@@ -311,11 +312,67 @@ def _stars(banded: DataFrame, bits: DataFrame) -> DataFrame:
     )
 
 
+def _square(rows: pd.DataFrame) -> pd.DataFrame:
+    """The pairs (a, b) of one square of a bucket that components and bits leave.
+
+    Rows of tiles ``lo`` and ``hi``; within one tile, all its rows meet.
+    """
+    lo, hi = rows["lo"].iat[0], rows["hi"].iat[0]
+    sides = [rows[rows["tile"] == tile] for tile in (lo, hi)]
+    uid, n, component = ([side[c].to_numpy() for side in sides] for c in ("uid", "n", "component"))
+    bits = [
+        np.stack(list(side["bits"])).view(np.uint64) if len(side) else np.zeros((0, BITS // 64), np.uint64)
+        for side in sides
+    ]
+    both = np.zeros((len(uid[0]), len(uid[1])), np.int64)
+    for word in range(BITS // 64):
+        both += np.bitwise_count(bits[0][:, word, None] & bits[1][None, :, word])
+    # Bits that only one side has stand for shingles no alignment matches.
+    left, right = (k - np.bitwise_count(own).sum(axis=1, dtype=np.int64) for k, own in zip(n, bits, strict=True))
+    shared = both + np.minimum(left[:, None], right[None, :])
+    x, y = n[0][:, None], n[1][None, :]
+    may = (shared >= (x + y) * (SIMILAR / (1 + SIMILAR)) - 1e-6) & (
+        np.minimum(x, y) >= np.maximum(x, y) * SIMILAR - 1e-9
+    )
+    may &= component[0][:, None] != component[1][None, :]
+    if lo == hi:
+        may = np.triu(may, 1)
+    i, j = np.nonzero(may)
+    ends = uid[0][i], uid[1][j]
+    return pd.DataFrame({"a": np.minimum(*ends), "b": np.maximum(*ends)})
+
+
+def _all_in_squares(members: DataFrame) -> DataFrame:
+    """All pairs of different components in each bucket that bits do not rule out.
+
+    ``members`` are (key, held, uid, n, component, bits). The members of a bucket
+    are dealt over tiles, and each pair of tiles is a group of its own, so that no
+    task holds more than two tiles, however large the bucket is.
+    """
+    tiles = F.ceil(F.col("held") / TILE).cast("int")
+    dealt = members.withColumn("tiles", tiles).withColumn(
+        "tile", F.pmod(F.xxhash64("uid"), F.col("tiles")).cast("int")
+    )
+    squares = dealt.withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    ).select(
+        "key",
+        F.least("tile", "other").alias("lo"),
+        F.greatest("tile", "other").alias("hi"),
+        "tile",
+        "uid",
+        F.col("n").cast("long").alias("n"),
+        "component",
+        "bits",
+    )
+    return squares.groupBy("key", "lo", "hi").applyInPandas(_square, "a long, b long")
+
+
 def _candidates_left(banded: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs of different components that meet in a bucket, less those bits rule out.
 
-    Members of a small bucket all meet. In a large one, those meet that share a
-    second large one as well. A pair is made once, where its least common keys are.
+    Members of a small bucket are joined, and a pair is made once, where its least
+    common small key is. Members of a large one all meet as well, in squares.
     """
     labelled = banded.join(labels, "uid", "left").withColumn(
         "component", F.coalesce("component", "uid")
@@ -327,43 +384,23 @@ def _candidates_left(banded: DataFrame, labels: DataFrame, sketches: DataFrame)
         .select("key")
     )
     open_ = durable(labelled.join(mixed_keys, "key"))
+    large = open_.filter(F.col("held") > SMALL_BUCKET).join(sketches, "uid")
     small = open_.filter(F.col("held") <= SMALL_BUCKET).select("key", "uid", "n", "component")
-    other = open_.select("uid", F.col("key").alias("other"))
-    large = (
-        open_.filter(F.col("held") > SMALL_BUCKET)
-        .join(other, "uid")
-        .filter(F.col("key") < F.col("other"))
-        .select(F.xxhash64("key", "other").alias("key"), "uid", "n", "component")
-    )
-    shared = large.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")
-    )
-    large = large.join(shared.filter("lo <> hi").select("key"), "key")
-    is_small = F.col("held") <= SMALL_BUCKET
-    keys = open_.groupBy("uid").agg(
-        F.sort_array(F.collect_list(F.when(is_small, F.col("key")))).alias("smalls"),
-        F.sort_array(F.collect_list(F.when(~is_small, F.col("key")))).alias("larges"),
-    )
-    meeting = small.withColumn("small", F.lit(True)).unionByName(large.withColumn("small", F.lit(False)))
-    meeting = durable(meeting.join(sketches.join(keys, "uid"), "uid"))
+    keys = small.groupBy("uid").agg(F.sort_array(F.collect_list("key")).alias("smalls"))
+    meeting = durable(small.join(sketches.join(keys, "uid"), "uid"))
     x, y = meeting.alias("x"), meeting.alias("y")
-    both_small = F.array_intersect("x.smalls", "y.smalls")
-    both_large = F.array_intersect("x.larges", "y.larges")
-    least_keys = F.when(F.col("x.small"), F.get(both_small, F.lit(0)) == F.col("x.key")).otherwise(
-        (F.size(both_small) == 0)
-        & (F.xxhash64(F.get(both_large, F.lit(0)), F.get(both_large, F.lit(1))) == F.col("x.key"))
-    )
-    return durable(
-        x.join(y, ["key", "small"])
+    joined = (
+        x.join(y, "key")
         .filter(
             (F.col("x.uid") < F.col("y.uid"))
             & (F.col("x.component") != F.col("y.component"))
             & _fits("x.n", "y.n")
+            & (F.get(F.array_intersect("x.smalls", "y.smalls"), F.lit(0)) == F.col("key"))
             & _enough_shared("x.n", "x.bits", "y.n", "y.bits")
-            & least_keys
         )
         .select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
     )
+    return durable(joined.union(_all_in_squares(large)).distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -375,10 +412,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     would join texts already in one class are not all looked for.
 
     Texts with the same words are one text from the start. Of each bucket a
-    few texts that meet many others are compared with the others; only
-    texts that this leaves in different classes are compared further. Pairs
-    whose shingles fall on too many different bits are left out, without loss. Null and empty texts are equal;
-    texts without words equal only themselves. Null ids and repeated rows are
+    few texts that meet many others are compared with the others; all pairs of
+    a bucket that this leaves in different classes are compared further. Pairs
+    whose shingles fall on too many different bits are left out, without loss.
+    Null and empty texts are equal; texts without words equal only themselves. Null ids and repeated rows are
     documents of their own; a class of null ids has a null id.
     """
     text = F.coalesce(F.col("text"), F.lit(""))

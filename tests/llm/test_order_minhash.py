@@ -127,6 +127,31 @@ def test_bits_bound_what_is_shared(spark):
         assert r["may"] or shared < 0.8 * (x.total() + y.total() - shared)
 
 
+def test_one_large_bucket_in_common_is_enough(spark, monkeypatch):
+    """Pairs that meet in a single large bucket are all candidates, whatever the tiles."""
+    rng = random.Random(14)
+    monkeypatch.setattr(order_minhash, "SMALL_BUCKET", 4)
+    monkeypatch.setattr(order_minhash, "TILE", 5)
+    base = [rng.getrandbits(63) for _ in range(order_minhash.BITS // 64)]
+    n = {uid: 500 + 10 * (uid % 8) for uid in range(30)}
+    bits = {uid: [w ^ (rng.getrandbits(63) & rng.getrandbits(63)) if uid % 3 else w for w in base] for uid in n}
+    component = {uid: uid // 2 for uid in n}
+    banded = spark.createDataFrame([(7, uid, n[uid], 30) for uid in n], "key long, uid long, n int, held long")
+    labels = spark.createDataFrame(list(component.items()), "uid long, component long")
+    sketches = spark.createDataFrame(list(bits.items()), "uid long, bits array<long>")
+    want = set()
+    for a in n:
+        for b in range(a + 1, 30):
+            lone = [sum((p & ~q).bit_count() for p, q in zip(bits[x], bits[y])) for x, y in ((a, b), (b, a))]
+            fits = min(n[a], n[b]) >= 0.8 * max(n[a], n[b])
+            enough = min(n[a] - lone[0], n[b] - lone[1]) * 1.8 >= 0.8 * (n[a] + n[b])
+            if component[a] != component[b] and fits and enough:
+                want.add((a, b))
+    got = order_minhash._candidates_left(banded, labels, sketches).collect()
+    assert 30 < len(want) < 400 and len(got) == len(want)
+    assert {(r["a"], r["b"]) for r in got} == want
+
+
 def test_awkward_rows(awkward, awkward_rows, empty):
     rows = near_duplicates(awkward).collect()
     assert len(rows) == len(awkward_rows)
