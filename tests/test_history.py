@@ -16,6 +16,7 @@ from studytrace.operators.ordered import (
     previous_value,
     running_totals,
 )
+from studytrace.plans import features
 from studytrace.plans.features import (
     build_features,
     content_dimensions,
@@ -241,6 +242,28 @@ def test_group_sizes(spark, raw_log, two_content):
     assert not log_groups(nameless, dims, 2).users_fit
 
 
+def test_log_is_run_once_before_the_windows(spark, raw_log, two_content):
+    """Sizes, groups and accuracy come from one run, with nulls, repeats and no rows."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def counting(rows):
+        for frame in rows:
+            runs.add(len(frame))
+            yield frame
+
+    some = raw_log.withColumn("is_correct", F.when(F.col("row_id") != 2, F.col("is_correct")))
+    log = some.union(some).mapInPandas(counting, some.schema)
+    dims = content_dimensions(two_content)
+    stage = feature_stage(Tables(log, None, two_content), strict=False, block_rows=20)
+    assert runs.value == 10
+    # Rows of problem p1 without their label have the overall accuracy.
+    got = {r["v_upid_acc"] for r in stage.log.filter("is_correct IS NULL").collect()}
+    assert got == {0.5}
+    counts = features.log_counts(some.limit(0))
+    assert counts.total() == 0 and features.log_groups(some.limit(0), dims, 1).users_fit
+    assert features.counted_accuracy(spark, counts).first()[0] is None
+
+
 def test_hot_keys_cost_two_written_tables(spark, raw_log, three_users, two_content, monkeypatch):
     """One small table of large groups, and the log once in blocks all windows share."""
     from studytrace.operators import ordered
