@@ -1,9 +1,13 @@
 from __future__ import annotations
 
-from collections import Counter
+import random
+from collections import Counter, defaultdict
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+from studytrace.llm import order_minhash
 from studytrace.llm.pieces import Encoder, model_path
+from tests.llm.conftest import sentence
 from tests.llm.test_credentials import base
 
 
@@ -47,3 +51,36 @@ def test_awkward_rows(spark, awkward, empty, tmp_path):
         left = {r["doc_id"] for r in docs.collect()}
         # Without labels nothing is rejected; of equal texts one row stays.
         assert left <= set(start) and bool(left) == bool(start)
+
+
+def test_one_large_bucket_in_common_makes_one_class(spark, docs_of, monkeypatch):
+    """A chain of similar texts that meet in a single large bucket is one class."""
+    rng, whole = random.Random(15), order_minhash._sketched
+    monkeypatch.setattr(order_minhash, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(order_minhash, "TILE", 3)
+    monkeypatch.setattr(order_minhash, "LEADERS", 1)
+    monkeypatch.setattr(
+        order_minhash, "_sketched", lambda text: whole(text).withField("bands", F.slice(whole(text)["bands"], 1, 1))
+    )
+    rows = []
+    for family in range(4):
+        words = sentence(rng, 200).split()
+        for step in range(20):
+            # Neighbours are similar, the first and the last are not.
+            words[(37 * step) % 200] = f"w{family}x{step}"
+            rows.append((len(rows), " ".join(words)))
+    docs = docs_of(rows)
+    held = docs.select("doc_id", order_minhash._sketched(F.col("text")).alias("s")).select("doc_id", "s.*").collect()
+    buckets = defaultdict(list)
+    for r in sorted(held, key=lambda r: r["doc_id"]):
+        buckets[r["bands"][0]].append((r["doc_id"], r["words"]))
+    assert max(map(len, buckets.values())) > 4
+    top = {i: i for i, _ in rows}
+    for members in buckets.values():
+        for i, x in members:
+            for j, y in members:
+                if i < j and order_minhash.similar(x, y):
+                    low, high = sorted((top[i], top[j]))
+                    top = {k: low if t == high else t for k, t in top.items()}
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert 4 <= len(kept) < len(rows) and {r["doc_id"] for r in kept} == set(top.values())
