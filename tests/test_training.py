@@ -6,6 +6,8 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from studytrace.operators.assemble import feature_assembler
+from studytrace.plans import training
 from studytrace.plans.jobs import train_from_feature_store, train_on_slice
 from studytrace.plans.features import build_features
 from studytrace.plans.preprocess import preprocess
@@ -108,6 +110,32 @@ def test_penalty_strength_follows_the_row_count():
     assert classifier("GradientBoostingClassifier", 1).getMaxIter() == 100
 
 
+def test_tree_statistics_of_all_tasks_fit_an_executor(spark, binary, monkeypatch):
+    made = []
+
+    def kept(*settings):
+        made.append(classifier(*settings))
+        return made[-1]
+
+    monkeypatch.setattr(training, "classifier", kept)
+    train_and_score(binary, "DecisionTreeClassifier")
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2**20
+    held = made[0].getMaxMemoryInMB() * spark.sparkContext.defaultParallelism
+    # A fifth of the heap: half of what cached rows cannot fill.
+    assert 0 < held <= 0.2 * heap
+
+
+def test_passes_over_few_nodes_grow_the_same_tree(vectors):
+    noisy = feature_assembler().transform(vectors.filter("row_id < 80")).withColumn(
+        "label", (F.xxhash64("row_id") % 2 == 0).cast("double")
+    )
+    wide, narrow = (
+        classifier("DecisionTreeClassifier", 1, node_memory=mb).fit(noisy) for mb in (1024, 0)
+    )
+    assert wide.numNodes > 20
+    assert wide.toDebugString.splitlines()[1:] == narrow.toDebugString.splitlines()[1:]
+
+
 def test_all_models_learn(signal):
     got = train_on_slice(signal, *ALL_DAYS, num_samples=None, boosting_stages=3)
     scores = {r["model_type"]: r for r in got.collect()}
